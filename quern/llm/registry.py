@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from quern.llm import sharding
+from quern.llm import fingerprints, neardup, sharding
 
 _QUERIES = {
+    "op2_fingerprints": fingerprints.query,
     "op5_shard_by_bytes": sharding.query,
+    "op9_near_duplicates": neardup.query,
 }
 
 _ORACLE: dict[str, str] = {}
