@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from quern.llm import fingerprints, neardup, sharding
+from quern.llm import bytebpe, fingerprints, neardup, packing, sharding
 
 _QUERIES = {
     "op2_fingerprints": fingerprints.query,
+    "op3_best_fit_packing": packing.query,
     "op5_shard_by_bytes": sharding.query,
+    "op7_byte_bpe": bytebpe.query,
     "op9_near_duplicates": neardup.query,
 }
 
