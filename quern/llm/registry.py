@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quern.llm import bytebpe, fingerprints, neardup, packing, sharding
+from quern.llm import bytebpe, fingerprints, neardup, packing, sharding, toxicity
 
 _QUERIES = {
+    "op1_toxicity": toxicity.query,
     "op2_fingerprints": fingerprints.query,
     "op3_best_fit_packing": packing.query,
     "op5_shard_by_bytes": sharding.query,
