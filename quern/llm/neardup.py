@@ -196,3 +196,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op9: components of documents with Jaccard similarity of 0.8 or more on 4-word shingles."""
     linked = link(table(spark, sf_dir, "documents"), 4)
     return linked.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group (5-word shingles, similarity 0.8) with its columns: the one with the smallest doc_id.
+
+    Rows with the same doc_id are one document; rows without a doc_id can't be named in a group and stay.
+    """
+    kept = link(docs, 5).where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id is null"))

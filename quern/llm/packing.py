@@ -176,3 +176,8 @@ def pack_documents(docs: DataFrame, path: str | None = None, size: int = SIZE) -
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op3: all documents packed into sequences of at most 2048 tokens."""
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in their sequences."""
+    return pack_documents(docs)

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from quern.llm import bytebpe, fingerprints, licenses, neardup, packing, secrets, sharding, toxicity
+from quern.llm import bytebpe, fingerprints, licenses, media, neardup, packing, pii, secrets, sharding, toxicity
 
 _QUERIES = {
     "op1_toxicity": toxicity.query,
+    "op10_pii_surrogates": pii.query,
     "op2_fingerprints": fingerprints.query,
     "op3_best_fit_packing": packing.query,
     "op4_secret_scan": secrets.query,
     "op5_shard_by_bytes": sharding.query,
     "op6_license_scan": licenses.query,
     "op7_byte_bpe": bytebpe.query,
+    "op8_media_chunks": media.query,
     "op9_near_duplicates": neardup.query,
 }
 
