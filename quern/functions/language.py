@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions import text as T
+
 _ASCII = re.compile("[\x00-\x7f]+")
 
 
@@ -23,7 +25,7 @@ def profiles(docs: DataFrame, text: str = "text", lang: str = "lang", most: int
     low = F.regexp_replace(F.lower(F.substring(F.col(text), 1, 5000)), r"[^\p{L}]+", " ")
     rows = None
     for n in (1, 2):
-        grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(low) - n + 1, F.lit(1))), lambda i, n=n: F.substring(low, i, F.lit(n)))
+        grams = T.char_ngrams(low, n)
         one = docs.where(F.length(low) > 2).select(F.col(lang).alias("lang"), F.explode(grams).alias("gram")).where("gram != ' '")
         rows = one if rows is None else rows.union(one)
     counts = rows.groupBy("lang", "gram").count()

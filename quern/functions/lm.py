@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions import text as T
+
 _DROPPED = re.compile("[ \x02\x03\n]")
 
 
@@ -51,7 +53,7 @@ def train(texts: DataFrame, column: str, order: int = 3, most: int = 50_000) ->
     rows = None
     for n in range(1, order + 1):
         clean = F.regexp_replace(F.col(column), "[ \x02\x03\n]", "")
-        grams = F.when(F.length(clean) >= n, F.transform(F.sequence(F.lit(1), F.length(clean) - n + 1), lambda i, n=n: F.substring(clean, i, F.lit(n))))
+        grams = F.when(F.length(clean) >= n, T.char_ngrams(clean, n))
         one = texts.select(F.explode(grams).alias("gram"))
         rows = one if rows is None else rows.union(one)
     counts = rows.groupBy("gram").count()

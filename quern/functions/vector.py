@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 _MIB = 1 << 20
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def lz4_ratio(texts: pd.Series) -> pd.Series:
     """LZ4 block bytes over the bytes of the first MiB; an empty text has no size to compare with."""
 
@@ -64,7 +64,7 @@ def edit_distance(a: list[str], b: list[str]) -> int:
     return int(row[-1])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def edit_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """1 - distance / longer length, of arrays of tokens; 1 for two empty ones."""
     return pd.Series([1.0 if not (longest := max(len(x), len(y))) else 1 - edit_distance(list(x), list(y)) / longest for x, y in zip(a, b, strict=True)], dtype="float64")

@@ -34,55 +34,19 @@ _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}
 _CROSSED = f"{_SPACE} ({_SPACE}|$)"
 
 
-class RankQueue:
-    """Buckets of positions by rank, with a bitmap over the buckets that have entries."""
-
-    def __init__(self, ranks: int):
-        self._buckets: dict[int, list[int]] = {}
-        self._low = [0] * (-(-ranks // 64))
-        self._mid = [0] * (-(-len(self._low) // 64))
-        self._top = 0
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self._buckets.get(rank)
-        if bucket is None:
-            self._buckets[rank] = [position]
-            low, mid = rank >> 6, rank >> 12
-            self._low[low] |= 1 << (rank & 63)
-            self._mid[mid] |= 1 << (low & 63)
-            self._top |= 1 << mid
-        else:
-            heappush(bucket, position)
-
-    def pop(self) -> tuple[int, int] | None:
-        """Lowest rank, and its leftmost position."""
-        top = self._top
-        if not top:
-            return None
-        mid = (top & -top).bit_length() - 1
-        word = self._mid[mid]
-        low = (mid << 6) + (word & -word).bit_length() - 1
-        word = self._low[low]
-        rank = (low << 6) + (word & -word).bit_length() - 1
-        bucket = self._buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self._buckets[rank]
-            self._low[low] &= self._low[low] - 1
-            if not self._low[low]:
-                self._mid[mid] &= self._mid[mid] - 1
-                if not self._mid[mid]:
-                    self._top &= top - 1
-        return rank, position
+_BIT = [1 << k for k in range(64)]
 
 
 class ByteBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self._pattern = ranks, regex.compile(pattern)
         self._longest = max(map(len, ranks))
-        self._queue = RankQueue(max(ranks.values()) + 1)
+        # the rank queue: buckets of positions, and for 64 buckets, 64 of these words, and 64 of those, a word of bits
+        self._buckets: dict[int, list[int]] = {}
+        self._low = [0] * ((max(ranks.values()) >> 6) + 1)
+        self._mid = [0] * ((len(self._low) >> 6) + 1)
         self._known: dict[str, list[int]] = {}
-        self.table = ChunkTable(self._chunk)
+        self.table = ChunkTable(self._chunk, 1_200_000)
         tokens: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             tokens[rank] = token
@@ -95,37 +59,69 @@ class ByteBpe:
         whole = self.ranks.get(raw)
         if whole is not None:
             return [whole]
-        ranks, queue, longest, n = self.ranks.get, self._queue, self._longest, len(raw)
+        ranks, longest, n = self.ranks.get, self._longest, len(raw)
+        buckets, lows, mids, top, bit = self._buckets, self._low, self._mid, 0, _BIT
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair: list[int | None] = [None] * n  # rank of the pair that begins at a position; None also for positions that are gone
+        pair = [-1] * n  # rank of the pair that begins at a position; -1 also for positions that are gone
         for k in range(n - 1):
             r = ranks(raw[k : k + 2])
             if r is not None:
                 pair[k] = r
-                queue.push(r, k)
-        while (found := queue.pop()) is not None:
-            rank, k = found
+                bucket = buckets.get(r)
+                if bucket is None:
+                    buckets[r] = [k]
+                    low = r >> 6
+                    mid = low >> 6
+                    lows[low] |= bit[r & 63]
+                    mids[mid] |= bit[low & 63]
+                    top |= bit[mid]
+                else:
+                    bucket.append(k)
+        while top:
+            mid = (top & -top).bit_length() - 1  # find first set, level by level
+            word = mids[mid]
+            low = (mid << 6) + (word & -word).bit_length() - 1
+            word = lows[low]
+            rank = (low << 6) + (word & -word).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                k = heappop(bucket)
+            else:
+                k = bucket[0]
+                del buckets[rank]
+                word &= word - 1
+                lows[low] = word
+                if not word:
+                    mids[mid] &= mids[mid] - 1
+                    if not mids[mid]:
+                        top &= top - 1
             if pair[k] != rank:
                 continue
             gone = after[k]
             to = after[k] = after[gone]
-            pair[gone] = None
+            pair[gone] = pair[k] = -1
+            left = before[k]
             if to < n:
                 before[to] = k
-                end = after[to]
-                r = ranks(raw[k:end]) if end - k <= longest else None
-                pair[k] = r
-                if r is not None:
-                    queue.push(r, k)
+                spots = ((k, after[to]), (left, to)) if left >= 0 else ((k, after[to]),)
             else:
-                pair[k] = None
-            left = before[k]
-            if left >= 0:
-                r = ranks(raw[left:to]) if to - left <= longest else None
-                if r != pair[left]:
-                    pair[left] = r
-                    if r is not None:
-                        queue.push(r, left)
+                spots = ((left, to),) if left >= 0 else ()
+            for spot, end in spots:
+                r = ranks(raw[spot:end]) if end - spot <= longest else None
+                if r is None:
+                    pair[spot] = -1
+                elif r != pair[spot]:
+                    pair[spot] = r
+                    bucket = buckets.get(r)
+                    if bucket is None:
+                        buckets[r] = [spot]
+                        low = r >> 6
+                        mid = low >> 6
+                        lows[low] |= bit[r & 63]
+                        mids[mid] |= bit[low & 63]
+                        top |= bit[mid]
+                    else:
+                        heappush(bucket, spot)
         out, k = [], 0
         while k < n:
             to = after[k]
@@ -141,7 +137,7 @@ class ByteBpe:
             if ids is None:
                 ids = self.encode_piece(piece.encode())
                 if len(piece) < 64:
-                    if len(known) > 300_000:
+                    if len(known) > 700_000:
                         known.clear()
                     known[piece] = ids
             out += ids
@@ -171,6 +167,12 @@ class ByteBpe:
         """The bytes of the ids, invalid UTF-8 included."""
         return gather(self._bytes, self._starts[ids], self._sizes[ids])[0].tobytes()
 
+    def decode_each(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The bytes of each text, given all ids and the number of each text's."""
+        raw = self.decode(ids)
+        ends = np.concatenate([[0], np.cumsum(self._sizes[ids])])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        return [raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
 
 @functools.cache
 def byte_bpe(path: str, pattern: str) -> ByteBpe:
@@ -187,11 +189,9 @@ def _round_trip(path: str, pattern: str):
         for batch in batches:
             for part in textops.pieces(batch):
                 ids, counts = bpe.encode(textops.texts_of(part.column("text")))
-                ends, digest, decoded = np.cumsum(counts), [], []
-                for a, b in zip(ends - counts, ends, strict=True):
-                    own = ids[a:b]
-                    digest.append(hashlib.sha256(own.astype("<u4").tobytes()).hexdigest())
-                    decoded.append(hashlib.sha256(bpe.decode(own)).hexdigest())
+                ends, raw = 4 * np.cumsum(counts), ids.astype("<u4").tobytes()
+                digest = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip((ends - 4 * counts).tolist(), ends.tolist(), strict=True)]
+                decoded = [hashlib.sha256(own).hexdigest() for own in bpe.decode_each(ids, counts)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(digest), pa.array(decoded)], names)
 
     return run

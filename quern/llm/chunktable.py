@@ -38,8 +38,9 @@ class ChunkTable:
 
     def ids_of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the places, one after another, and the number of ids of each place."""
-        starts = np.array(self._starts, dtype=np.int64)
-        return gather(np.array(self._ids, dtype=np.uint32), starts[:-1][places], np.diff(starts)[places])
+        starts = np.frombuffer(self._starts, dtype=np.int64)  # views: gone before the arrays grow again
+        begin = starts[places]
+        return gather(np.frombuffer(self._ids, dtype=np.uint32), begin, starts[places + 1] - begin)
 
 
 def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

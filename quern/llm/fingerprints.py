@@ -101,7 +101,15 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
     """
     spark, ids = docs.sparkSession, docs.select("doc_id")
     cuts = _ranges(ids, "doc_id", parts)
-    part = F.coalesce(F.lit(len(cuts)) - sum((F.col("doc_id") > c).cast("int") for c in cuts) if cuts else F.lit(0), F.lit(len(cuts)))
+
+    def search(low: int, high: int):
+        """The range of a doc_id between two cuts, by halving: the expression is as deep as the logarithm of the cuts."""
+        if low == high:
+            return F.lit(len(cuts) - low)
+        mid = (low + high) // 2
+        return F.when(F.col("doc_id") > cuts[mid], search(mid + 1, high)).otherwise(search(low, mid))
+
+    part = search(0, len(cuts))
     heads = ids.groupBy(part.cast("int").alias("_p")).agg(F.max("doc_id").alias("_id")).orderBy("_p").collect()
     befores = spark.createDataFrame([(head["_id"], heads[k - 1]["_p"]) for k, head in enumerate(heads)], "_head long, _before int")
     own = docs.withColumn("_part", part.cast("int")).join(F.broadcast(befores), F.col("doc_id").eqNullSafe(F.col("_head")), "left")

@@ -240,7 +240,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     made = replaced(docs, KEY, level_for(docs))
     kinds = made.withColumn("_kinds", F.expr(f"transform(_matches, m -> {kind_of('m')})"))
-    counts = [F.coalesce(F.size(F.filter("_kinds", lambda x, k=k: x == k)), F.lit(0)).alias(f"n_{k}") for k in KINDS]
+    counts = [F.expr(f"coalesce(size(filter(_kinds, k -> k = '{k}')), 0)").alias(f"n_{k}") for k in KINDS]
     return kinds.select("doc_id", "text", F.coalesce(F.size("_kinds"), F.lit(0)).alias("n_entities"), *counts)
 
 

@@ -34,6 +34,9 @@ def _byte_letters() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+_NONE = 1 << 30
+
+
 class WordBpe:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -45,49 +48,58 @@ class WordBpe:
         vocab = model["vocab"]
         letters = _byte_letters()
         self._inner, self._last = [vocab[c] for c in letters], [vocab[c + "</w>"] for c in letters]
-        self._merge: dict[int, tuple[int, int]] = {}
+        self._merge: dict[int, int] = {}  # rank of a pair of ids
+        self._merged: list[int] = []  # id that a rank makes
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self._merge.setdefault(vocab[a] << 20 | vocab[b], (rank, vocab[a + b]))
+            self._merge.setdefault(vocab[a] << 20 | vocab[b], rank)
+            self._merged.append(vocab[a + b])
         self._words: dict[str, list[int]] = {}
         self.table = ChunkTable(self._chunk)
 
     def _bpe(self, word: str) -> list[int]:
-        raw, merge = word.encode(), self._merge
+        raw, merge = word.encode(), self._merge.get
         ids = [self._inner[b] for b in raw[:-1]]
         ids.append(self._last[raw[-1]])
         if len(ids) > 400:  # the library's queue is faster there
             return self.library.encode(word, add_special_tokens=False).ids
-        found = [merge.get(a << 20 | b) for a, b in zip(ids, ids[1:], strict=False)]
-        while True:
-            best, at = None, -1
-            for k, f in enumerate(found):
-                if f is not None and (best is None or f[0] < best[0]):
-                    best, at = f, k
-            if best is None:
-                return ids
-            ids[at : at + 2] = [best[1]]
-            del found[at]
+        ranks = [merge(a << 20 | b, _NONE) for a, b in zip(ids, ids[1:], strict=False)]
+        while ranks:
+            best = min(ranks)
+            if best == _NONE:
+                break
+            at = ranks.index(best)
+            ids[at : at + 2] = [self._merged[best]]
+            del ranks[at]
             if at:
-                found[at - 1] = merge.get(ids[at - 1] << 20 | ids[at])
-            if at < len(found):
-                found[at] = merge.get(ids[at] << 20 | ids[at + 1])
+                ranks[at - 1] = merge(ids[at - 1] << 20 | ids[at], _NONE)
+            if at < len(ranks):
+                ranks[at] = merge(ids[at] << 20 | ids[at + 1], _NONE)
+        return ids
 
     def _chunk(self, chunk: str) -> list[int]:
         if not _PLAIN.fullmatch(chunk):
             return self.library.encode(chunk, add_special_tokens=False).ids
+        low = chunk.lower()
+        if low.isalpha():
+            return self._word(low)
+        if low[:-1].isalpha() and low[-1] in ".,;:!?|":
+            return self._word(low[:-1]) + self._word(low[-1])
         out: list[int] = []
-        for word in _SPLIT.findall(chunk.lower()):
-            ids = self._words.get(word)
-            if ids is None:
-                if len(self._words) > 300_000:
-                    self._words.clear()
-                ids = self._bpe(word)
-                if len(word) < 64:
-                    self._words[word] = ids
-            out += ids
+        for word in _SPLIT.findall(low):
+            out += self._word(word)
         return out
 
+    def _word(self, word: str) -> list[int]:
+        ids = self._words.get(word)
+        if ids is None:
+            if len(self._words) > 300_000:
+                self._words.clear()
+            ids = self._bpe(word)
+            if len(word) < 64:
+                self._words[word] = ids
+        return ids
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and the number of each text's ids."""
         self.table.fit()

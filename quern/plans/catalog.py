@@ -1,17 +1,506 @@
-"""All queries of the engine's own operators by name, with their SQL twins."""
+"""All queries of the engine's own operators by name, with the DuckDB SQL that gives the same rows.
+
+The test tables' paragraphs end at single line breaks, so the queries take "\\n" for the separator.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quern.functions import text as T
+from quern.operators import cleaning, filters, minhash, paragraphs, reports
+from quern.operators import simhash as sim
+from quern.plans.pipeline import Pipeline
+from quern.sources import html
+
+SEP = "\n"
+_QUERIES: dict = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _docs(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", *more)
+
+
+def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.explode(_docs(spark, sf_dir), SEP).select("doc_id", "pos", "text")
+
+
+def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose paragraphs' frequencies are their counts in all documents."""
+    rows = _rows(spark, sf_dir)
+    freq = paragraphs.frequencies(rows).select("text", F.col("freq").cast("int").alias("exact_freq"), F.col("freq").cast("int").alias("near_freq"))
+    return paragraphs.assemble(rows.join(freq, "text"))
+
+
+def _elements(spark: SparkSession, sf_dir: str, *steps) -> DataFrame:
+    """A row for each element that the steps keep: doc_id, pos, text."""
+    made = cleaning.pipeline(list(steps))(cleaning.elements(_docs(spark, sf_dir)))
+    return made.select("doc_id", F.posexplode("elements").alias("pos", "text"))
+
+
+#: Paragraph rows `p` (doc_id, pos, text), counted `f`, both `c`; cleaned as the engine does.
+_CLEAN = r"trim(regexp_replace({x}, '[\x00-\x01\x04-\x20\x{{a0}}]+', ' ', 'g'))"
+_P = rf"""p AS (SELECT doc_id, (unnest(range(len(a))))::INT AS pos, unnest(list_transform(a, lambda x: {_CLEAN.format(x="x")})) AS text
+FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents) WHERE len(a) < 1000)"""
+_F = "f AS (SELECT text, count(*)::BIGINT AS freq FROM p GROUP BY text)"
+_C = "c AS (SELECT doc_id, pos, text, freq::INT AS nf FROM p JOIN f USING (text))"
+_H = "('0x' || substr(md5({x}), 1, 15))::BIGINT"
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "n_chars")
+    """Duplicate paragraphs go by their frequencies in all documents, then short documents."""
+    return duplicate_paragraph_filter(spark, sf_dir)
+
+
+@_query(f"WITH {_P} SELECT * FROM p")
+def paragraph_clean(spark, sf_dir):
+    return _rows(spark, sf_dir)
+
+
+@_query("""SELECT doc_id, (unnest(range(len(a))))::INT AS pos, unnest(a) AS text FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents)
+WHERE len(a) < 1000""")
+def paragraph_explode(spark, sf_dir):
+    return paragraphs.explode(_docs(spark, sf_dir), SEP, clean=False).select("doc_id", "pos", "text")
+
+
+@_query(f"WITH {_P}, {_F} SELECT text, freq FROM f")
+def paragraph_freq(spark, sf_dir):
+    return paragraphs.frequencies(_rows(spark, sf_dir))
+
+
+@_query("SELECT doc_id, len(string_split(text, chr(10)))::INT AS n, (strlen(text) < 2097152 AND len(string_split(text, chr(10))) < 1000) AS fits FROM documents")
+def paragraph_count(spark, sf_dir):
+    t = F.col("text")
+    return _docs(spark, sf_dir).select("doc_id", T.count_paragraphs(t, SEP).alias("n"), T.within_limits(t, SEP).alias("fits"))
+
+
+@_query(f"WITH {_P} SELECT doc_id, n, CASE WHEN n < 200 THEN 'DocLength.Low(200)' WHEN n > 5000 THEN 'DocLength.High(5000)' END AS removed_by FROM (SELECT doc_id, sum(length(text))::BIGINT AS n FROM p GROUP BY doc_id)")
+def doc_length_filter(spark, sf_dir):
+    f = filters.DocLength(200, 5000)
+    return f.apply(paragraphs.assemble(_rows(spark, sf_dir))).select("doc_id", f.metric().alias("n"), "removed_by")
+
+
+@_query(f"""WITH {_P}, {_F}, {_C} SELECT doc_id, string_agg(text, chr(10) ORDER BY pos) AS text FROM c WHERE nf < 2 GROUP BY doc_id
+HAVING sum(length(text)) >= 50""")
+def duplicate_paragraph_filter(spark, sf_dir):
+    done = Pipeline([filters.DuplicateParagraphs(2), filters.DocLength(50)])(_counted(spark, sf_dir))
+    return paragraphs.render(done, SEP).select("doc_id", "text")
+
+
+@_query(f"""WITH {_P}, l AS (SELECT *, lag(text) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM p)
+SELECT doc_id, pos, text FROM l WHERE before IS NULL OR before != text""")
+def adjacent_dup_collapse(spark, sf_dir):
+    done = filters.AdjacentDuplicateParagraphs().apply(paragraphs.assemble(_rows(spark, sf_dir)))
+    return done.select("doc_id", F.explode("paragraphs").alias("p")).select("doc_id", "p.pos", "p.text")
+
+
+@_query(f"""WITH {_P}, {_F}, {_C}, h AS (SELECT doc_id, pos, nf, nf >= 3 AS hit FROM c),
+t AS (SELECT *, bool_and(hit) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)
+ OR bool_and(hit) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING) AS trig FROM h)
+SELECT doc_id, pos, (trig OR (hit AND coalesce(bool_or(trig) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING), false))) AS removed FROM t""")
+def large_freq_runs(spark, sf_dir):
+    done = filters.LargeFreqParagraphs(2, 3).apply(_counted(spark, sf_dir))
+    return done.select("doc_id", F.explode("paragraphs").alias("p")).select("doc_id", "p.pos", F.col("p.removed_by").isNotNull().alias("removed"))
+
+
+@_query(f"""WITH {_P}, {_F}, {_C} SELECT doc_id, round(CASE WHEN sum(length(text)) = 0 THEN 0 ELSE sum(length(text) * ln(least(nf, 10)) / ln(10.0)) / sum(length(text)) END, 6)::DOUBLE AS score
+FROM c GROUP BY doc_id""")
+def dedup_score(spark, sf_dir):
+    return _counted(spark, sf_dir).select("doc_id", F.round(filters.DeduplicateDocuments(10).score(), 6).alias("score"))
+
+
+@_query(f"""WITH {_P}, {_F}, {_C}, a AS (SELECT doc_id, list_sort(list(nf)) AS l FROM c GROUP BY doc_id),
+q AS (SELECT doc_id, l[floor(len(l) * 0.3::DOUBLE)::INT + 1] AS freq, ({_H.format(x="doc_id::VARCHAR")} / 1152921504606846976.0) AS r FROM a)
+SELECT doc_id, freq, CASE WHEN r > 1.5 / freq THEN 'DedupDocsPercentile(0.3,1.5)' END AS removed_by FROM q""")
+def freq_percentile(spark, sf_dir):
+    f = filters.DeduplicateDocumentsPercentile(0.3, 1.5)
+    return f.apply(_counted(spark, sf_dir)).select("doc_id", f.frequency().alias("freq"), "removed_by")
+
+
+@_query(f"""WITH {_P}, {_F}, {_C} SELECT doc_id, round(CASE WHEN sum(length(text)) = 0 THEN 0 ELSE sum(length(text) * (log10(nf) + 1)) / sum(length(text)) END, 6)::DOUBLE AS weight
+FROM c GROUP BY doc_id""")
+def length_weighted_score(spark, sf_dir):
+    return _counted(spark, sf_dir).select("doc_id", F.round(filters.DuplicateDocumentsLengthWeighted().weight(), 6).alias("weight"))
+
+
+@_query(r"SELECT doc_id, round(length(regexp_replace(text, '[^A-Z]', '', 'g')) / nullif(length(text), 0)::DOUBLE, 9) AS upper, round(length(regexp_replace(text, '[^\x{e0}-\x{ff}]', '', 'g')) / nullif(length(text), 0)::DOUBLE, 9) AS accented FROM documents")
+def char_class_ratio(spark, sf_dir):
+    t = F.col("text")
+    return _docs(spark, sf_dir).select("doc_id", F.round(T.char_ratio(t, "A-Z"), 9).alias("upper"), F.round(T.char_ratio(t, "à-ÿ"), 9).alias("accented"))
+
+
+_LISTED = ["the", "that", "than", "and", "de la", "de", "der", "ent"]
+_LIST_SQL = "regexp_extract_all(text, 'de la|than|that|and|der|ent|the|de')"
+
+
+@_query(f"SELECT doc_id, len({_LIST_SQL})::INT AS n FROM documents")
+def word_instances(spark, sf_dir):
+    docs = paragraphs.parse(_docs(spark, sf_dir), SEP, clean=False)
+    return docs.select("doc_id", F.size(filters.WordInstances(_LISTED).matches()).alias("n"))
+
+
+@_query(f"""WITH w AS (SELECT doc_id, unnest({_LIST_SQL}) AS w FROM documents), g AS (SELECT doc_id, w, count(*) AS n FROM w GROUP BY ALL),
+s AS (SELECT doc_id, count(*)::DOUBLE AS uniq, round(count(*) + sum(log10(n)), 6)::DOUBLE AS log10, round(sum(sqrt(n)), 6)::DOUBLE AS sqrt FROM g GROUP BY doc_id)
+SELECT doc_id, coalesce(uniq, 0) AS uniq, coalesce(log10, 0) AS log10, coalesce(sqrt, 0) AS sqrt FROM documents LEFT JOIN s USING (doc_id)""")
+def word_types(spark, sf_dir):
+    docs = paragraphs.parse(_docs(spark, sf_dir), SEP, clean=False)
+    return docs.select("doc_id", *(F.round(filters.WordTypes(_LISTED, kind=k).score(), 6).alias(k) for k in ("uniq", "log10", "sqrt")))
+
+
+@_query(f"WITH {_P} SELECT text, count(*)::BIGINT AS n FROM p GROUP BY text ORDER BY n DESC, text LIMIT 100")
+def heavy_hitters_topk(spark, sf_dir):
+    return paragraphs.heavy_hitters(_rows(spark, sf_dir), "text")
+
+
+@_query(f"""WITH {_P}, s AS (SELECT text, count(*) AS n FROM p WHERE doc_id % 2 = 0 GROUP BY text HAVING count(*) > 1), f AS (SELECT text, count(*) AS n FROM p GROUP BY text),
+t AS (SELECT text, n AS local FROM f ORDER BY n DESC, {_H.format(x="text")} LIMIT 100)
+SELECT doc_id, pos, greatest(coalesce(s.n, 1), coalesce(t.local, 1))::INT AS near_freq FROM p LEFT JOIN s USING (text) LEFT JOIN t USING (text)""")
+def stats_join_bias(spark, sf_dir):
+    rows = _rows(spark, sf_dir)
+    known = paragraphs.frequencies(rows.where("doc_id % 2 = 0")).where("freq > 1").select(T.md5_long(F.col("text")).alias("hash"), F.col("freq").cast("int").alias("exact_freq"), F.col("freq").cast("int").alias("near_freq"))
+    return paragraphs.join_statistics(rows, known, T.md5_long(F.col("text"))).select("doc_id", "pos", "near_freq")
+
+
+_R = f"""r AS (SELECT {_H.format(x="text")} AS hash, min({_H.format(x="text")}) OVER (PARTITION BY substr(text, 1, 8)) AS repr_hash, freq FROM f)"""
+
+
+def _reprs(rows: DataFrame) -> DataFrame:
+    """Paragraphs with the same beginning as groups, for what works on groups of near copies."""
+    hashed = paragraphs.frequencies(rows).withColumn("hash", T.md5_long(F.col("text"))).withColumn("_k", F.substring("text", 1, 8))
+    least = hashed.groupBy("_k").agg(F.min("hash").alias("repr_hash"))
+    return hashed.join(least, "_k").select("hash", "repr_hash", "freq")
+
+
+@_query(f"""WITH {_P}, {_F}, {_R}, n AS (SELECT repr_hash, sum(freq)::INT AS near_freq FROM r GROUP BY repr_hash)
+SELECT hash, repr_hash, freq::INT AS exact_freq, near_freq FROM r JOIN n USING (repr_hash)""")
+def stats_exact_near(spark, sf_dir):
+    return paragraphs.statistics(_reprs(_rows(spark, sf_dir)))
+
+
+def _half(k: int, of: int) -> str:
+    return f"""p{k} AS (SELECT * FROM p WHERE doc_id % 3 = {k}), f{k} AS (SELECT text, count(*) AS freq FROM p{k} GROUP BY text),
+r{k} AS (SELECT {_H.format(x="text")} AS hash, min({_H.format(x="text")}) OVER (PARTITION BY substr(text, 1, 8)) AS repr_hash, freq FROM f{k}),
+s{k} AS (SELECT hash, repr_hash, freq::INT AS exact_freq, (sum(freq) OVER (PARTITION BY repr_hash))::INT AS near_freq FROM r{k})"""
+
+
+def _merge_sql(table: str, rounds: int) -> str:
+    steps = ["m0 AS (SELECT init, init AS cur FROM g0)"]
+    for k in range(rounds):
+        steps.append(f"m{k + 1} AS (SELECT init, min(coalesce(tgt, cur)) AS cur FROM m{k} LEFT JOIN upd ON cur = src GROUP BY init HAVING init != min(coalesce(tgt, cur)))")
+    return f"""agg AS (SELECT hash, min(repr_hash) AS nr, count(DISTINCT repr_hash) AS k, sum(exact_freq)::INT AS ef, sum(near_freq)::INT AS nf FROM {table} GROUP BY hash),
+pre AS (SELECT repr_hash AS src, min(nr) AS tgt, list(DISTINCT nr) AS every FROM {table} JOIN agg USING (hash) WHERE repr_hash != nr GROUP BY repr_hash),
+upd AS (SELECT DISTINCT src, tgt FROM (SELECT src, tgt FROM pre UNION ALL SELECT unnest(every) AS src, tgt FROM pre) WHERE src != tgt),
+g0 AS (SELECT repr_hash AS init FROM {table} GROUP BY repr_hash HAVING count(*) > 1 UNION SELECT repr_hash FROM {table} JOIN agg USING (hash) WHERE k > 1),
+{", ".join(steps)}, fin AS (SELECT hash, coalesce(cur, nr) AS repr_hash, ef AS exact_freq, nf FROM agg LEFT JOIN m{rounds} ON nr = init)
+SELECT hash, repr_hash, exact_freq, (max(nf) OVER (PARTITION BY repr_hash))::INT AS near_freq FROM fin"""
+
+
+@_query(f"""WITH {_P}, {_half(0, 3)}, {_half(1, 3)}, {_half(2, 3)}, u AS (SELECT * FROM s0 UNION ALL SELECT * FROM s1 UNION ALL SELECT * FROM s2), {_merge_sql("u", 6)}""")
+def merge_dedup_stats(spark, sf_dir):
+    rows = _rows(spark, sf_dir)
+    parts = [paragraphs.statistics(_reprs(rows.where(f"doc_id % 3 = {k}"))) for k in range(3)]
+    return paragraphs.merge_statistics(parts[0].unionByName(parts[1]).unionByName(parts[2]), 5)
+
+
+_SHORT = f"""s AS (SELECT DISTINCT text, substr(text, 1, 6) AS k FROM p WHERE length(text) BETWEEN 8 AND 30)"""
+
+
+@_query(f"""WITH {_P}, {_SHORT} SELECT a.text AS a, b.text AS b, levenshtein(a.text, b.text)::INT AS distance FROM s a JOIN s b ON a.k = b.k AND a.text < b.text
+WHERE levenshtein(a.text, b.text) < 0.3 * floor((length(a.text) + length(b.text)) / 2)""")
+def short_text_pairs_levenshtein(spark, sf_dir):
+    s = _rows(spark, sf_dir).where(F.length("text").between(8, 30)).select("text", F.substring("text", 1, 6).alias("k")).distinct()
+    both = s.select("k", F.col("text").alias("a")).join(s.select("k", F.col("text").alias("b")), "k").where("a < b")
+    return both.select("a", "b", F.levenshtein("a", "b").alias("distance")).where(F.col("distance") < 0.3 * F.floor((F.length("a") + F.length("b")) / 2))
+
+
+_NG = "list_distinct(list_transform(range(1, length({t}) - 1), lambda i: substr({t}, i::BIGINT, 3)))"
+
+
+@_query(f"""WITH {_P}, s AS (SELECT DISTINCT text, substr(text, 1, 12) AS k, {_NG.format(t="text")} AS g FROM p WHERE length(text) BETWEEN 31 AND 200)
+SELECT a.text AS a, b.text AS b, round(len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g)))::DOUBLE, 9) AS jaccard FROM s a JOIN s b ON a.k = b.k AND a.text < b.text
+WHERE len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g)))::DOUBLE >= 0.7""")
+def ngram_jaccard_pairs(spark, sf_dir):
+    s = _rows(spark, sf_dir).where(F.length("text").between(31, 200)).select("text", F.substring("text", 1, 12).alias("k")).distinct().withColumn("g", F.array_distinct(T.char_ngrams(F.col("text"), 3)))
+    a, b = (s.select("k", F.col("text").alias(n), F.col("g").alias(f"g_{n}")) for n in "ab")
+    both = a.join(b, "k").where("a < b").withColumn("jaccard", T.jaccard(F.col("g_a"), F.col("g_b")))
+    return both.where("jaccard >= 0.7").select("a", "b", F.round("jaccard", 9).alias("jaccard"))
+
+
+_B, _RR = 6, 3
+_COEFF = minhash.coefficients(_B * _RR)
+_WORDS = "list_filter(string_split(trim(regexp_replace(lower(text), '[ \\t\\n\\r\\x0b\\f]+', ' ', 'g')), ' '), lambda w: w != '')"
+_MH = f"""w AS (SELECT doc_id, {_WORDS} AS w FROM documents), g AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+ WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE []::VARCHAR[] END) AS g FROM w),
+e AS (SELECT doc_id, ({_H.format(x="x")}) % {minhash.PRIME} + 1 AS v FROM (SELECT doc_id, unnest(g) AS x FROM g)),
+k AS (SELECT unnest(range({_B * _RR})) AS k, unnest({[a for a, _ in _COEFF]}::BIGINT[]) AS a, unnest({[b for _, b in _COEFF]}::BIGINT[]) AS b),
+m AS (SELECT doc_id, k, min((v * a + b) % {minhash.PRIME}) AS m FROM e, k GROUP BY doc_id, k),
+bands AS (SELECT doc_id, (k // {_RR})::INT AS band, string_agg(m::VARCHAR, ',' ORDER BY k) AS key FROM m GROUP BY doc_id, k // {_RR})"""
+_CAND = "cand AS (SELECT DISTINCT a.doc_id AS id1, b.doc_id AS id2 FROM bands a JOIN bands b USING (band, key) WHERE a.doc_id < b.doc_id)"
+_VER = """ver AS (SELECT id1, id2, round(len(list_intersect(x.g, y.g)) / (len(x.g) + len(y.g) - len(list_intersect(x.g, y.g)))::DOUBLE, 9) AS jaccard
+ FROM cand JOIN g x ON x.doc_id = id1 JOIN g y ON y.doc_id = id2 WHERE len(list_intersect(x.g, y.g)) / (len(x.g) + len(y.g) - len(list_intersect(x.g, y.g)))::DOUBLE >= 0.8)"""
+_CC = """edge AS (SELECT id1 AS u, id2 AS v FROM ver UNION SELECT id2, id1 FROM ver),
+reach AS (SELECT u AS node, u AS label FROM edge UNION SELECT v, r.label FROM reach r JOIN edge e ON r.node = e.u WHERE r.label < e.v OR TRUE),
+cc AS (SELECT node, min(label) AS component FROM reach GROUP BY node)"""
+
+
+def _features(spark, sf_dir):
+    return minhash.features(_docs(spark, sf_dir), 5, T.md5_long)
+
+
+@_query(f"WITH {_MH} SELECT doc_id, band, key FROM bands")
+def minhash_bands(spark, sf_dir):
+    return minhash.bands(_features(spark, sf_dir), _B, _RR)
+
+
+@_query(f"WITH {_MH}, {_CAND} SELECT id1, id2 FROM cand")
+def minhash_candidates(spark, sf_dir):
+    return minhash.candidates(minhash_bands(spark, sf_dir))
+
+
+@_query(f"WITH {_MH}, {_CAND}, {_VER} SELECT id1, id2, jaccard FROM ver")
+def minhash_verified(spark, sf_dir):
+    docs = _features(spark, sf_dir)
+    return minhash.verified(minhash.candidates(minhash.bands(docs, _B, _RR)), docs).withColumn("jaccard", F.round("jaccard", 9))
+
+
+@_query(f"WITH RECURSIVE {_MH}, {_CAND}, {_VER}, {_CC} SELECT node, component FROM cc")
+def connected_components(spark, sf_dir):
+    from quern.operators.components import connected
+
+    return connected(minhash_verified(spark, sf_dir), "id1", "id2")
+
+
+@_query(f"WITH RECURSIVE {_MH}, {_CAND}, {_VER}, {_CC} SELECT doc_id, component AS cc, (component IS NULL OR component = doc_id) AS kept FROM documents LEFT JOIN cc ON node = doc_id")
+def split_dedup_dup(spark, sf_dir):
+    return minhash.split(_docs(spark, sf_dir), minhash_verified(spark, sf_dir)).select("doc_id", "cc", "kept")
+
+
+@_query()
+def edit_similarity_pairs(spark, sf_dir):
+    docs = _features(spark, sf_dir)
+    return minhash.edit_verified(minhash.verified(minhash.candidates(minhash.bands(docs, _B, _RR)), docs), docs)
+
+
+#: Elements of the cleaning steps: non-trailing lines.
+_E = """e0 AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents),
+e1 AS (SELECT doc_id, a[1:coalesce(list_max(list_filter(range(1, len(a) + 1), lambda i: a[i] != '')), 0)] AS a FROM e0),
+e AS (SELECT doc_id, (unnest(range(len(a))))::INT AS pos, unnest(a) AS text FROM e1)"""
+
+
+def _renumbered(where: str) -> str:
+    return f"WITH {_E} SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1)::INT AS pos, text FROM e WHERE {where}"
+
+
+@_query(f"WITH {_E} SELECT doc_id, pos, text FROM e")
+def sentence_split(spark, sf_dir):
+    return _elements(spark, sf_dir, "SplitIntoSentence")
+
+
+@_query(f"""WITH {_E}, m AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id, pos) AS r FROM e)
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1)::INT AS pos, text FROM m WHERE r = 1""")
+def dedup_element_global(spark, sf_dir):
+    return _elements(spark, sf_dir, "SplitIntoSentence", "DeduplicateElement")
+
+
+@_query(f"""WITH {_E}, m AS (SELECT *, lag(text) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM e)
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1)::INT AS pos, text FROM m WHERE before IS NULL OR before != text""")
+def repeat_sentence_collapse(spark, sf_dir):
+    return _elements(spark, sf_dir, "SplitIntoSentence", "DeduplicateRepeatingSentence")
+
+
+@_query(_renumbered("length(text) BETWEEN 10 AND 200"))
+def sentence_length_filter(spark, sf_dir):
+    return _elements(spark, sf_dir, "SplitIntoSentence", "FilterBySentenceLength")
+
+
+@_query(f"""WITH {_E}, m AS (SELECT *, sum(CASE WHEN pos = 0 OR length(text) > 5 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM e)
+SELECT doc_id, (island - 1)::INT AS pos, string_agg(text, '' ORDER BY pos) AS text FROM m GROUP BY doc_id, island""")
+def concat_short(spark, sf_dir):
+    return _elements(spark, sf_dir, "SplitIntoSentence", {"class": "ConcatShortSentence", "concatThreshold": 5})
+
+
+@_query(_renumbered(f"NOT regexp_matches(text, '{cleaning.EMAIL}')"))
+def remove_email(spark, sf_dir):
+    return _elements(spark, sf_dir, "SplitIntoSentence", "RemoveEmail")
+
+
+@_query(_renumbered(f"NOT regexp_matches(text, '{cleaning.URL}')"))
+def remove_url(spark, sf_dir):
+    return _elements(spark, sf_dir, "SplitIntoSentence", "RemoveURL")
+
+
+@_query("SELECT doc_id FROM documents WHERE NOT regexp_matches(text, '[{}|]')")
+def remove_script(spark, sf_dir):
+    return cleaning.pipeline(["RemoveScriptDocument"])(cleaning.elements(_docs(spark, sf_dir))).select("doc_id")
+
+
+@_query("SELECT doc_id FROM documents WHERE len(string_split(text, chr(10))) >= 5")
+def remove_short_doc(spark, sf_dir):
+    return cleaning.pipeline(["RemoveShortDocument"])(cleaning.elements(_docs(spark, sf_dir))).select("doc_id")
+
+
+@_query(f"""WITH {_E}, m AS (SELECT doc_id, pos, regexp_replace(text, '(?:under the|License|de)', '', 'g') AS text FROM e)
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1)::INT AS pos, text FROM m WHERE text != ''""")
+def remove_substring(spark, sf_dir):
+    return _elements(spark, sf_dir, "SplitIntoSentence", {"class": "RemoveSubstring", "substrings": ["de", "License", "under the"]})
+
+
+@_query(r"SELECT doc_id, regexp_replace(text, '[ \t\n\x0b\f\r\x{3000}]+', ' ', 'g') AS text FROM documents")
+def normalize_whitespace(spark, sf_dir):
+    return cleaning.joined(cleaning.pipeline(["NormalizeWhitespace"])(cleaning.elements(_docs(spark, sf_dir))))
+
+
+@_query(r"SELECT doc_id, regexp_replace(text, '[\x00-\x1f\x7f-\x{9f}\x{ad}\x{a0}\x{2028}\x{2029}\x{3000}]', '', 'g') AS text FROM documents")
+def normalize_character(spark, sf_dir):
+    return cleaning.joined(cleaning.pipeline(["NormalizeCharacter"])(cleaning.elements(_docs(spark, sf_dir))))
+
+
+@_query(r"SELECT doc_id, regexp_replace(text || '[12] {{x}} [要出典] [y?]', '\[\d+?\]|\[要.+?\]|\{\{[^{}]*\}\}|\[[^\[\]]*[?？]\]', '', 'g') AS text FROM documents")
+def citation_strip(spark, sf_dir):
+    docs = _docs(spark, sf_dir).withColumn("text", F.concat("text", F.lit("[12] {{x}} [要出典] [y?]")))
+    return cleaning.joined(cleaning.pipeline(["RemoveWikipediaCitation"])(cleaning.elements(docs)))
+
+
+@_query(r"""SELECT doc_id FROM documents WHERE NOT regexp_matches(text, '(^|[^\pL\pN_])(?:than|License)($|[^\pL\pN_])')""")
+def remove_ng_words(spark, sf_dir):
+    return cleaning.pipeline([{"class": "RemoveNGWordDocument", "words": ["than", "License"]}])(cleaning.elements(_docs(spark, sf_dir))).select("doc_id")
+
+
+@_query("""WITH d AS (SELECT DISTINCT source AS g, md5(text) AS i FROM documents), n AS (SELECT g, count(*) AS n FROM d GROUP BY g),
+s AS (SELECT a.g AS g1, b.g AS g2, count(*)::BIGINT AS both FROM d a JOIN d b USING (i) WHERE a.g < b.g GROUP BY 1, 2)
+SELECT g1, g2, both, both / (x.n + y.n - both)::DOUBLE AS of_union, both / x.n::DOUBLE AS of_first, both / y.n::DOUBLE AS of_second FROM s JOIN n x ON x.g = g1 JOIN n y ON y.g = g2""")
+def overlap_matrix(spark, sf_dir):
+    return reports.overlaps(_docs(spark, sf_dir, "source").withColumn("_i", F.md5("text")), "source", "_i")
+
+
+@_query("""SELECT source, coalesce(sum(strlen(text)) FILTER (lang = 'en'), 0)::BIGINT AS en, coalesce(sum(strlen(text)) FILTER (lang = 'de'), 0)::BIGINT AS de,
+coalesce(sum(strlen(text)) FILTER (lang = 'fr'), 0)::BIGINT AS fr, coalesce(sum(strlen(text)) FILTER (lang = 'es'), 0)::BIGINT AS es FROM documents GROUP BY source""")
+def filter_size_pivot(spark, sf_dir):
+    return reports.sizes_by(_docs(spark, sf_dir, "source", "lang"), "source", "lang", ["en", "de", "fr", "es"])
+
+
+@_query(f"""SELECT doc_id, length(replace(text, chr(10), ''))::DOUBLE AS value, CASE WHEN {_H.format(x="doc_id::VARCHAR")} / 1152921504606846976.0 < 0.1
+THEN array_to_string(list_filter(string_split(text, chr(10)), lambda x: x != ''), '<p>') ELSE '' END AS text FROM documents""")
+def metric_sorted_sample(spark, sf_dir):
+    docs = paragraphs.parse(_docs(spark, sf_dir), SEP, clean=False)
+    return reports.metric_table(docs, reports.metric("length"), examples=0.1)
+
+
+@_query(rf"""SELECT doc_id, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: {_CLEAN.format(x="x")}), lambda x: regexp_matches(x, '[^\x00-\x20\x{{3000}}]')), chr(10)) AS text FROM documents""")
+def repackage_clean(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", F.array_join(T.split_clean(F.col("text"), SEP), SEP).alias("text"))
+
+
+@_query("""WITH a AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: x != '') AS a FROM documents),
+g AS (SELECT unnest(list_transform(range(1, len(a)), lambda i: a[i] || chr(10) || a[i + 1])) AS passage FROM a WHERE len(a) >= 2)
+SELECT passage, count(*)::BIGINT AS n FROM g WHERE length(passage) >= 10 GROUP BY passage HAVING count(*) >= 2""")
+def repeated_passages(spark, sf_dir):
+    return reports.repeated_passages(_docs(spark, sf_dir))
+
+
+@_query(r"SELECT sum(len(regexp_extract_all(text, '[a-zA-Z]+')))::BIGINT AS tokens, sum(strlen(text))::BIGINT AS bytes FROM documents")
+def token_counts(spark, sf_dir):
+    return reports.token_counts(_docs(spark, sf_dir), F.size(F.regexp_extract_all("text", F.lit("[a-zA-Z]+"), F.lit(0))))
+
+
+@_query(r"SELECT doc_id, unnest(regexp_extract_all(text, '[^\n.!?]*[\n.!?]|[^\n.!?]+')) AS sentence FROM documents")
+def sentence_iterator(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", F.explode(T.sentences(F.col("text"), "\n.!?")).alias("sentence"))
+
+
+@_query("""SELECT event_id, CASE WHEN least(ts, ts - INTERVAL 3 DAY) < TIMESTAMP '1999-01-01' THEN '' ELSE strftime(least(ts, ts - INTERVAL 3 DAY), '%Y-%m-%dT%H:%M:%S') END AS date FROM events""")
+def earliest_date(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    least = F.least("ts", F.col("ts") - F.expr("INTERVAL 3 DAYS"))
+    told = F.date_format(least, "yyyy-MM-dd'T'HH:mm:ss")
+    return e.select("event_id", F.when(told < "1999-01-01", F.lit("")).otherwise(told).alias("date"))
+
+
+@_query()
+def html_paragraphs(spark, sf_dir):
+    found = html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+    return found.select("page_id", "url", F.posexplode("paragraphs").alias("pos", "p")).select("page_id", "url", "pos", "p.path", "p.text")
+
+
+def _pages(spark, sf_dir):
+    rows = html_paragraphs(spark, sf_dir).withColumnRenamed("page_id", "doc_id")
+    return paragraphs.assemble(rows)
+
+
+def _shown(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.explode("paragraphs").alias("p")).select("doc_id", "p.*")
+
+
+@_query()
+def no_content_dom(spark, sf_dir):
+    return _shown(filters.NoContentDOM().apply(_pages(spark, sf_dir)))
+
+
+@_query()
+def markdown_headings(spark, sf_dir):
+    return _shown(filters.MarkdownizeHeading().apply(_pages(spark, sf_dir)))
+
+
+@_query()
+def merge_list_tag(spark, sf_dir):
+    return _shown(filters.MergeListTag().apply(_pages(spark, sf_dir)))
+
+
+@_query()
+def web_pipeline(spark, sf_dir):
+    return paragraphs.render(Pipeline.of("web.conf")(_pages(spark, sf_dir)), debug=True)
+
+
+@_query()
+def simhash_groups(spark, sf_dir):
+    rows = sim.prepare(paragraphs.frequencies(_rows(spark, sf_dir)).where(T.has_content(F.col("text"))))
+    return paragraphs.statistics(sim.group(rows).select("hash", "repr_hash", "freq"))
+
+
+@_query()
+def simhash_sliding(spark, sf_dir):
+    rows = sim.prepare(paragraphs.frequencies(_rows(spark, sf_dir)).where(T.has_content(F.col("text"))))
+    return paragraphs.statistics(sim.sliding(rows, 3).select("hash", "repr_hash", "freq"))
+
+
+@_query()
+def compression_rate(spark, sf_dir):
+    f = filters.CompressionRate(0.2, 0.9)
+    docs = paragraphs.parse(_docs(spark, sf_dir), SEP)
+    return f.apply(docs).select("doc_id", f.metric().alias("rate"), "removed_by")
+
+
+@_query()
+def language_id(spark, sf_dir):
+    from quern.functions.language import language_of, profiles
+
+    docs = _docs(spark, sf_dir, "lang")
+    return docs.select("doc_id", "lang", language_of(F.col("text"), profiles(docs), 64).alias("found"))
+
+
+@_query()
+def perplexity(spark, sf_dir):
+    from quern.functions import lm
+
+    docs = _docs(spark, sf_dir)
+    return lm.score_distinct(_rows(spark, sf_dir), "text", lm.train(docs, "text", 2, 5000))
 
 
 def queries():
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(_SQL)
