@@ -96,14 +96,21 @@ def longest_first(words: list[str]) -> str:
     return "|".join(literal(w) for w in sorted(set(words), key=lambda w: (-len(w), w)))
 
 
+def once(value: Column, body) -> Column:
+    """body(value), with the value computed once however often body names it; a lambda's body would compute it for each element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def char_ngrams(text: Column, n: int) -> Column:
     """All n-grams of characters, as an array; none for shorter texts."""
-    return F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    some = lambda c: F.transform(F.sequence(F.lit(1), F.size(c) - n + 1), lambda i: F.array_join(F.slice(c, i, n), ""))
+    return F.when(F.length(text) >= n, once(F.split(text, ""), some)).otherwise(F.array().cast("array<string>"))
 
 
 def word_ngrams(words: Column, n: int) -> Column:
     """All n-grams of an array of words, joined by spaces."""
-    return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.array_join(F.slice(words, i + 1, n), " "))).otherwise(F.array().cast("array<string>"))
+    some = lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.array_join(F.slice(w, i + 1, n), " "))
+    return once(words, lambda w: F.when(F.size(w) >= n, some(w)).otherwise(F.array().cast("array<string>")))
 
 
 def jaccard(a: Column, b: Column) -> Column:

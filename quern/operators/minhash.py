@@ -30,18 +30,17 @@ def coefficients(count: int, seed: int = 42) -> list[tuple[int, int]]:
     return [(r.randrange(1, PRIME), r.randrange(PRIME)) for _ in range(count)]
 
 
-def signature(grams: Column, coeffs: list[tuple[int, int]]) -> Column:
-    """The least of ((1 + v) a + b) mod PRIME for each (a, b); null without grams."""
-    pairs = F.array(*(F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for a, b in coeffs))
-    value = lambda v, c: F.pmod((F.pmod(v, F.lit(PRIME).cast("long")) + 1) * c["a"] + c["b"], F.lit(PRIME).cast("long"))
-    return F.when(F.size(grams) > 0, F.transform(pairs, lambda c: F.array_min(F.transform(grams, lambda v: value(v, c)))))
-
-
 def bands(docs: DataFrame, b: int, r: int, seed: int = 42, doc_id: str = "doc_id") -> DataFrame:
-    """A row for each document and band: doc_id, band, key. Documents without grams have none."""
-    sig = signature(F.col("grams"), coefficients(b * r, seed))
-    keys = F.transform(F.sequence(F.lit(0), F.lit(b - 1)), lambda k: F.array_join(F.slice(F.col("_sig"), k * r + 1, r), ","))
-    return docs.select(doc_id, sig.alias("_sig")).where("_sig is not null").select(doc_id, F.posexplode(keys).alias("band", "key"))
+    """A row for each document and band: doc_id, band, key. Documents without grams have none.
+
+    A key joins the least values of ((1 + v) a + b) mod PRIME over the document's grams v. The grams are rows, reduced where they are made.
+    """
+    prime = F.lit(PRIME).cast("long")
+    value = lambda x, y: F.pmod((F.pmod("_v", prime) + 1) * F.lit(x).cast("long") + F.lit(y).cast("long"), prime)
+    least = [F.min(value(x, y)).alias(f"_m{k}") for k, (x, y) in enumerate(coefficients(b * r, seed))]
+    signed = docs.select(doc_id, F.explode("grams").alias("_v")).groupBy(doc_id).agg(*least)
+    keys = F.array(*(F.concat_ws(",", *(F.col(f"_m{k * r + i}").cast("string") for i in range(r))) for k in range(b)))
+    return signed.select(doc_id, F.posexplode(keys).alias("band", "key"))
 
 
 def candidates(rows: DataFrame, doc_id: str = "doc_id") -> DataFrame:

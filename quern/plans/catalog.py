@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quern.functions import text as T
 from quern.operators import cleaning, filters, minhash, paragraphs, reports
 from quern.operators import simhash as sim
+from quern.operators.durable import durable
 from quern.plans.pipeline import Pipeline
 from quern.sources import html
 
@@ -211,7 +212,7 @@ SELECT hash, repr_hash, exact_freq, (max(nf) OVER (PARTITION BY repr_hash))::INT
 def merge_dedup_stats(spark, sf_dir):
     rows = _rows(spark, sf_dir)
     parts = [paragraphs.statistics(_reprs(rows.where(f"doc_id % 3 = {k}"))) for k in range(3)]
-    return paragraphs.merge_statistics(parts[0].unionByName(parts[1]).unionByName(parts[2]), 5)
+    return paragraphs.merge_statistics(durable(parts[0].unionByName(parts[1]).unionByName(parts[2])), 5)
 
 
 _SHORT = f"""s AS (SELECT DISTINCT text, substr(text, 1, 6) AS k FROM p WHERE length(text) BETWEEN 8 AND 30)"""
