@@ -4,12 +4,11 @@
    Equal sets become one class before anything else, so hot groups of copies cost one row each.
 2. Each of TREES orders permutes the signature's values; the rows of an order are range-sorted by the permuted signature.
    A row is held against its neighbours in the order, those with the longest common prefix, as long as the prefix has at
-   least DEPTH values: against all of a small region, and against fewer and thereby deeper neighbours in a crowded one.
-   Range sorting splits a crowded region over tasks. A pair stays when the signatures agree well enough.
+   least DEPTH values: against all of a small region; in a crowded one it looks back over its next neighbours, which share
+   the more values the more crowded it is, and takes the likeliest. Range sorting splits a crowded region over tasks. A pair
+   stays when the signatures agree well enough.
 3. Components of the confirmed links grow in rounds. Each round confirms pairs on the full shingle sets, first each row's
    likeliest pairs, then whatever pair still joins two components; pairs within a component need no confirmation.
-4. Crowded regions that still hold several components are completed: rows outside a region's largest component meet the
-   best-linked rows of the other components.
 
 Edge cases: texts are lower-cased (A-Z) and split at `[\\x20\\x09-\\x0D]`; texts with fewer words than a shingle have their whole
 sequence as the one shingle; null, empty and blank texts have no shingles, link with nothing and stay. Repeated rows and equal
@@ -26,14 +25,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import textops
-from quern.llm.components import connected
-from quern.llm.storage import durable, table
+from quern.operators.components import connected
+from quern.llm.storage import durable, release, table
 
 PERMS = 64
 TREES = 20
 DEPTH = 4
-#: Neighbours before a row that it is held against: all in a region of up to SMALL rows, else CROWDED.
-SMALL, CROWDED = 24, 4
+#: A region of rows with DEPTH equal values is small up to SMALL rows, which all meet; beyond, a row looks back over CROWDED rows.
+SMALL, CROWDED = 24, 48
+#: Of these, so many of the likeliest are met in each order.
+LIKELIEST = 4
 #: Signatures that agree in a smaller share of their values are taken to be below the threshold of 0.8.
 LEAST_AGREEMENT = 0.56
 SEED = 20
@@ -94,33 +95,54 @@ def _plant(batches):
 
 
 def _neighbours(batches):
-    """Pairs of neighbouring rows of sorted trees that agree well enough, with the share of agreeing values."""
-    run: list[tuple] = []  # rows of the region before this one, the last SMALL of them
-    length = 0
-    seen: set = set()
-
-    def found(out):
-        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.float32())], ["a", "b", "likeness"])
+    """Pairs of neighbouring rows of sorted trees that agree well enough, with the share of agreeing values.
 
+    A row meets all rows before it in a region of up to SMALL rows. In a crowded region it is held against the CROWDED rows before it,
+    which share the longest prefixes with it, and meets the LIKELIEST of them; over all trees these are many.
+    """
+    most, kept = max(SMALL, CROWDED), None  # kept: the last rows before this batch
     for batch in batches:
-        out = []
-        for tree, key, rep in zip(batch.column("tree").to_pylist(), batch.column("key").to_pylist(), batch.column("rep").to_pylist(), strict=True):
-            if not run or run[-1][0] != tree or run[-1][1][: 2 * DEPTH] != key[: 2 * DEPTH]:
-                run, length = [], 0
-            sig = np.frombuffer(key, dtype=np.uint16)
-            for _, _, other, theirs in run[-(SMALL if length <= SMALL else CROWDED) :]:
-                if other != rep:
-                    alike = float((sig == theirs).mean())
-                    pair = (min(rep, other), max(rep, other))
-                    if alike >= LEAST_AGREEMENT and pair not in seen:
-                        seen.add(pair)
-                        out.append((*pair, alike))
-            run = [*run[-SMALL + 1 :], (tree, key, rep, sig)]
-            length += 1
-            if len(seen) > 200_000:
-                seen.clear()
-        if out:
-            yield found(out)
+        tree = batch.column("tree").to_numpy()
+        keys = np.frombuffer(b"".join(batch.column("key").to_pylist()), dtype=np.uint16).reshape(-1, PERMS)
+        rep = batch.column("rep").to_numpy()
+        old = carried = 0
+        if kept is not None:
+            old, carried = len(kept[0]), kept[3]
+            tree, keys, rep = (np.concatenate([x, y]) for x, y in zip(kept, (tree, keys, rep), strict=False))
+        new = np.ones(len(tree), dtype=bool)
+        new[1:] = (tree[1:] != tree[:-1]) | (keys[1:, :DEPTH] != keys[:-1, :DEPTH]).any(1)
+        starts, region = np.flatnonzero(new), np.cumsum(new)
+        place = np.arange(len(tree)) - starts[region - 1]  # of a row within its region
+        place[: starts[1] if len(starts) > 1 else None] += carried
+        met: list[tuple] = []
+        best, likeliest = np.zeros((LIKELIEST, len(tree))), np.zeros((LIKELIEST, len(tree)), dtype=np.int64)
+        for step in range(1, min(most, len(tree) - 1) + 1):
+            j = np.flatnonzero(region[step:] == region[:-step]) + step
+            if not len(j):
+                break
+            small = place[j] <= SMALL
+            use = (j >= old) & np.where(small, step <= SMALL, step <= CROWDED) & (rep[j] != rep[j - step])
+            j, small = j[use], small[use]
+            alike = (keys[j] == keys[j - step]).mean(1)
+            use = alike >= LEAST_AGREEMENT
+            j, small, alike = j[use], small[use], alike[use]
+            met.append((j[small], j[small] - step, alike[small]))
+            j, alike = j[~small], alike[~small]
+            at = j - step
+            for top, its in zip(best, likeliest, strict=True):  # each better one takes the place, and what it displaced goes on
+                use = alike > top[j]
+                old_alike, old_at = top[j], its[j]
+                top[j], its[j] = np.where(use, alike, old_alike), np.where(use, at, old_at)
+                alike, at = np.where(use, old_alike, alike), np.where(use, old_at, at)
+        for top, its in zip(best, likeliest, strict=True):
+            j = np.flatnonzero(top)
+            met.append((j, its[j], top[j]))
+        x, y, alike = (np.concatenate(c) for c in zip(*met, strict=True))
+        if len(x):
+            a, b = rep[x], rep[y]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(alike.astype(np.float32))], ["a", "b", "likeness"])
+        cut = max(len(tree) - most, 0)
+        kept = (tree[cut:], keys[cut:], rep[cut:], place[cut])
 
 
 def _sets(shingle: int):

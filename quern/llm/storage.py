@@ -1,25 +1,14 @@
-"""Reading tables, and cutting lineage in the folder all executors share."""
+"""Reading tables; durable() and release() keep and drop results in the folder all executors share."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
+from quern.operators.durable import durable, release
+
+__all__ = ["durable", "release", "table"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def durable(df: DataFrame) -> DataFrame:
-    """df's rows, computed once and kept in spark.checkpoint.dir, so that lost executors cost no recomputation.
-
-    Where the session names no such folder (tests on one machine), a temporary one is set.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="quern-checkpoint-"))
-    return df.checkpoint()
