@@ -73,114 +73,62 @@ def _hash(key: str, tag: str, *values: str) -> str:
     return f"cast(conv(substr(sha2(concat_ws('|', {_text(key)}, {_text(tag)}, {said}), 256), 1, 15), 16, 10) as bigint)"
 
 
-_CHARS = "regexp_extract_all({m}, '(?s).', 0)"
-_IS = "({c} rlike '^[0-9A-Za-z]$')"
-
-
-def _chars(m: str) -> str:
-    return _CHARS.format(m=m)
-
-
-def _number(values: str, radices: str) -> str:
-    return f"aggregate(zip_with({values}, {radices}, (x, y) -> struct(x, y)), 0L, (n, z) -> n * z.y + z.x)"
-
-
-def _digits(number: str, radices: str) -> str:
-    return f"aggregate(reverse({radices}), struct({number} as q, cast(array() as array<bigint>) as out), (s, r) -> struct(s.q div r as q, concat(array(s.q % r), s.out) as out)).out"
-
-
-def _permuted(values: str, radices: str, key: str, tag: str) -> str:
-    """array<bigint>: a keyed permutation of the values within their radices: 24 of them by Feistel rounds, the rest by a stream from these."""
-    product = lambda r: f"aggregate({r}, 1L, (n, y) -> n * y)"
-    part = lambda a, k: f"slice({a}, 1, cast(least(size({a}), 24) div 2 as int))" if k == 0 else f"slice({a}, cast(least(size({a}), 24) div 2 as int) + 1, least(size({a}), 24) - cast(least(size({a}), 24) div 2 as int))"
-    rounds = (
-        f"aggregate(sequence(0, 7), struct({_number(part('vs', 0), part('rs', 0))} as u, {_number(part('vs', 1), part('rs', 1))} as v), (s, i) -> if(i % 2 = 0, "
-        f"struct(pmod(s.u + {_hash(key, tag, 'i', 's.v')}, {product(part('rs', 0))}) as u, s.v as v), struct(s.u as u, pmod(s.v + {_hash(key, tag, 'i', 's.u')}, {product(part('rs', 1))}) as v)))"
-    )
-    rest = f"transform(slice(vs, 25, greatest(size(vs) - 24, 0)), (x, i) -> pmod(x + {_hash(key, tag, 'uv.u', 'uv.v', 'i')}, element_at(rs, 25 + i)))"
-    body = _let(rounds, "uv", f"concat({_digits('uv.u', part('rs', 0))}, {_digits('uv.v', part('rs', 1))}, {rest})")
-    return _let(values, "vs", _let(radices, "rs", body))
-
-
-def _rebuilt(m: str, values: str) -> str:
-    """m with its letters and digits replaced by the values in turn; case stays."""
-    is_ = _IS.format(c="c")
-    one = "case when c rlike '[0-9]' then cast(element_at(nv, s.i + 1) as string) when c rlike '[a-z]' then char(97 + element_at(nv, s.i + 1)) else char(65 + element_at(nv, s.i + 1)) end"
-    step = f"if({is_}, struct(concat(s.out, {one}) as out, s.i + 1 as i), struct(concat(s.out, c) as out, s.i as i))"
-    return _let(values, "nv", f"aggregate({_chars(m)}, struct('' as out, 0 as i), (s, c) -> {step}).out")
-
-
-def _signs(m: str) -> str:
-    return f"filter({_chars(m)}, c -> {_IS.format(c='c')})"
-
-
-_VALUES = "transform({s}, c -> cast(case when c rlike '[0-9]' then ascii(c) - 48 when c rlike '[a-z]' then ascii(c) - 97 else ascii(c) - 65 end as bigint))"
-_RADICES = "transform({s}, c -> if(c rlike '[0-9]', 10L, 26L))"
-
-
-def _alnum(m: str, key: str, tag: str) -> str:
-    signs = _signs(m)
-    return _rebuilt(m, _permuted(_VALUES.format(s=signs), _RADICES.format(s=signs), key, tag))
-
-
-def _email(m: str, key: str) -> str:
-    local, domain = f"substring_index({m}, '@', 1)", f"substring_index({m}, '@', -1)"
-    last = f"substring_index({domain}, '.', -1)"
-    body = f"left({domain}, length({domain}) - length({last}) - 1)"
-    return f"concat({_let(local, 'lp', _alnum('lp', key, 'local'))}, '@', {_let(body, 'dp', _alnum('dp', key, 'domain'))}, '.', {last})"
-
-
-def _luhn(p: str) -> str:
-    """The check digit for the digits before it."""
-    doubled = f"transform(reverse({p}), (x, i) -> if(i % 2 = 0, if(2 * x > 9, 2 * x - 9, 2 * x), x))"
-    return f"pmod(0 - aggregate({doubled}, 0L, (n, x) -> n + x), 10L)"
-
-
-def _card(m: str, key: str) -> str:
-    body = _permuted("slice(d, 2, size(d) - 2)", "transform(slice(d, 2, size(d) - 2), x -> 10L)", key, "card")
-    last = f"pmod({_luhn('np')} + element_at(d, -1) - {_luhn('slice(d, 1, size(d) - 1)')}, 10L)"
-    moved = _let(f"concat(slice(d, 1, 1), {body})", "np", f"concat(np, array({last}))")
-    return _let(_VALUES.format(s=_signs(m)), "d", _rebuilt(m, moved))
-
-
-def _phone(m: str, key: str) -> str:
-    code = f"regexp_extract({m}, '^\\\\+(?:1|7|[2-9]\\\\d)', 0)"
-    return _let(code, "cc", f"concat(cc, {_let(f'substr({m}, length(cc) + 1)', 'ph', _alnum('ph', key, 'phone'))})")
-
-
-def _ip(m: str, key: str) -> str:
-    octets = f"transform(split({m}, '[.]'), o -> cast(o as bigint))"
-    return f"array_join({_permuted(octets, f'transform(split({m}, {_text('[.]')}), o -> 256L)', key, 'ip')}, '.')"
-
-
-def _iban(m: str, key: str) -> str:
-    return f"concat(left({m}, 2), {_let(f'substr({m}, 3)', 'ib', _alnum('ib', key, 'iban'))})"
-
-
-def _script(word: str, of) -> str:
-    """SQL: what `of` gives for the word's script."""
-    return f"case when {word} rlike '^[\\\\u0400-\\\\u04FF]' then {of('cyrillic')} when {word} rlike '^[\\\\u0370-\\\\u03FF\\\\u1F00-\\\\u1FFF]' then {of('greek')} else {of('latin')} end"
-
-
-def _picked(script: str, words: str, tag: str, word: str, key: str, times: int) -> list[str]:
-    """SQL for `times` words of a list, each chosen by other bits."""
-    listed = words.split()
-    literal = "array(" + ", ".join(map(_text, listed)) + ")"
-    return [f"element_at({literal}, cast({_hash(key, f'{tag}{k}', f'lower({word})')} % {len(listed)} as int) + 1)" for k in range(times)]
+def _moved(body: str, tag: str, key: str) -> str:
+    """SQL: body with its letters and digits (octets, if tag is 'ip') moved by a keyed permutation; case and other signs stay.
+
+    Up to 24 of them go through Feistel rounds between two halves, each a number in the mixed radix of its signs, so different bodies of
+    a form stay different; the rest is shifted by a stream from these.
+    """
+    tokens = f"regexp_extract_all({body}, if({tag} = 'ip', '[0-9]+|[.]', '(?s).'), 0)"
+    is_sign = "rlike '^[0-9A-Za-z]+$'"
+    value = f"case when t rlike '^[0-9]' then cast(t as bigint) when t rlike '^[a-z]' then ascii(t) - 97L else ascii(t) - 65L end"
+    radix = f"case when {tag} = 'ip' then 256L when t rlike '^[0-9]' then 10L else 26L end"
+    signs = f"transform(filter(ts, t -> t {is_sign}), t -> struct({value} as x, {radix} as r))"
+    halves = "transform(array(slice(sg, 1, cast(least(size(sg), 24) div 2 as int)), slice(sg, cast(least(size(sg), 24) div 2 as int) + 1, cast((least(size(sg), 24) + 1) div 2 as int))), h -> struct(h as h, aggregate(h, struct(0L as n, 1L as p), (s, d) -> struct(s.n * d.r + d.x as n, s.p * d.r as p)) as m))"
+    turn = _let(_hash(key, "i", tag, "i", "if(i % 2 = 0, s.v, s.u)"), "k", "if(i % 2 = 0, struct(pmod(s.u + k, hs[0].m.p) as u, s.v as v), struct(s.u as u, pmod(s.v + k, hs[1].m.p) as v))")
+    rounds = f"aggregate(sequence(0, 7), struct(hs[0].m.n as u, hs[1].m.n as v), (s, i) -> {turn})"
+    digits = "flatten(transform(hs, (h, j) -> aggregate(reverse(h.h), struct(if(j = 0, uv.u, uv.v) as q, cast(array() as array<bigint>) as o), (s, d) -> struct(s.q div d.r as q, concat(array(s.q % d.r), s.o) as o)).o))"
+    rest = f"transform(slice(sg, 25, greatest(size(sg) - 24, 0)), (d, i) -> pmod(d.x + {_hash(key, 'rest', tag, 'uv.u', 'uv.v', 'i')}, d.r))"
+    put = f"if(t {is_sign}, struct(concat(s.o, case when t rlike '^[0-9]' then cast(nv[s.i] as string) when t rlike '^[a-z]' then char(97 + nv[s.i]) else char(65 + nv[s.i]) end) as o, s.i + 1 as i), struct(concat(s.o, t) as o, s.i as i))"
+    woven = f"aggregate(ts, struct('' as o, 0 as i), (s, t) -> {put}).o"
+    return _let(tokens, "ts", _let(signs, "sg", _let(halves, "hs", _let(rounds, "uv", _let(f"concat({digits}, {rest})", "nv", woven)))))
+
+
+def _luhn(number: str) -> str:
+    """SQL: the check digit for the digits of a number that come before it."""
+    doubled = f"transform(reverse(regexp_extract_all({number}, '[0-9]', 0)), (x, i) -> if(i % 2 = 0, if(2 * x > 9, 2 * x - 9, 2 * x), cast(x as double)))"
+    return f"pmod(0 - cast(aggregate({doubled}, 0D, (n, x) -> n + x) as bigint), 10L)"
+
+
+def _parts(m: str) -> str:
+    """SQL: array of (what stays before, what moves, what stays after, the permutation's tag) for the kind kd."""
+    row = lambda before, body, after, tag: f"struct({before} as b, {body} as m, {after} as a, {tag} as tag)"
+    domain = _let(f"substring_index({m}, '@', -1)", "dm", _let("length(dm) - length(substring_index(dm, '.', -1)) - 1", "n", row("'@'", "left(dm, n)", "substr(dm, n + 1)", "'domain'")))
+    code = f"if(kd = 'phone', length(regexp_extract({m}, '^\\\\+(?:1|7|[2-9]\\\\d)', 0)), case kd when 'iban' then 2 when 'card' then 1 else 0 end)"
+    number = _let(code, "n", row(f"left({m}, n)", f"substr({m}, n + 1, length({m}) - n - if(kd = 'card', 1, 0))", "''", "kd"))
+    return f"if(kd = 'email', array({row(_text(''), f'substring_index({m}, {_text("@")}, 1)', _text(''), _text('local'))}, {domain}), array({number}))"
+
+
+def _chosen(kind: str, script: str, gender: str, word: str, key: str, times: int, between: str) -> str:
+    """SQL: `times` words of the list for script (and gender), each chosen by other bits, put together."""
+    if kind == "given":
+        branches = " ".join(f"when '{s}{g}' then split({_text(words)}, ' ')" for (s, g), words in _GIVEN.items())
+        listed = f"case concat({script}, {gender}) {branches} end"
+    else:
+        listed = f"case {script} " + " ".join(f"when '{s}' then split({_text(words)}, ' ')" for s, words in _SYLLABLES.items()) + " end"
+    pick = f"element_at(ls, cast({_hash(key, kind, gender if kind == 'given' else _text(''), 'k', f'lower({word})')} % size(ls) as int) + 1)"
+    return _let(listed, "ls", f"array_join(transform(sequence(1, {times}), k -> {pick}), {_text(between)})")
 
 
 def _name(m: str, key: str, level: int) -> str:
     title = f"regexp_extract({m}, {_text(f'^(?:{_TITLE})[.]? ')}, 0)"
-    bare = "rtrim('. ', ti)"
-    of = lambda titles: f"{bare} in ({', '.join(map(_text, titles))})"
-    surname = lambda s: "initcap(concat(" + ", ".join(_picked(s, _SYLLABLES[s], "surname", "w", key, 3 + level)) + "))"
-    given_of = lambda s, g: "concat_ws('-', " + ", ".join(_picked(s, _GIVEN[s, g], f"given{g}", "w", key, 1 + level)) + ")"
-    given = lambda s: f"case when {of(_MALE)} then {given_of(s, 'm')} when {of(_FEMALE)} then {given_of(s, 'f')} else {given_of(s, 'n')} end"
-    cased = lambda made: f"if(length(w) > 1 and w = upper(w), upper({made}), {made})"
-    last = cased(_script("w", surname))
-    first = cased(_script("w", given))
+    of = lambda titles: f"rtrim('. ', ti) in ({', '.join(map(_text, titles))})"
+    gender = f"case when {of(_MALE)} then 'm' when {of(_FEMALE)} then 'f' else 'n' end"
+    script = "case when w rlike '^[\\u0400-\\u04FF]' then 'cyrillic' when w rlike '^[\\u0370-\\u03FF\\u1F00-\\u1FFF]' then 'greek' else 'latin' end"
+    last, first = f"initcap({_chosen('surname', 'sc', 'ge', 'w', key, 3 + level, '')})", _chosen("given", "sc", "ge", "w", key, 1 + level, "-")
+    made = _let(script, "sc", _let(f"if(j = size(ws) - 1, {last}, {first})", "mw", "if(length(w) > 1 and w = upper(w), upper(mw), mw)"))
     words = f"split(substr({m}, length(ti) + 1), ' ')"
-    return _let(title, "ti", _let(words, "ws", f"concat(ti, array_join(transform(ws, (w, j) -> if(j = size(ws) - 1, {last}, {first})), ' '))"))
+    return _let(title, "ti", _let(gender, "ge", _let(words, "ws", f"concat(ti, array_join(transform(ws, (w, j) -> {made}), ' '))")))
 
 
 def kind_of(m: str) -> str:
@@ -194,8 +142,9 @@ def kind_of(m: str) -> str:
 
 def surrogate(m: str, key: str = KEY, level: int = 0) -> str:
     """SQL: the surrogate of the match that the SQL expression m stands for."""
-    kinds = {"email": _email(m, key), "iban": _iban(m, key), "ssn": _alnum(m, key, "ssn"), "card": _card(m, key), "phone": _phone(m, key), "ip": _ip(m, key), "name": _name(m, key, level)}
-    return _let(kind_of(m), "kd", "case kd " + " ".join(f"when '{k}' then {s}" for k, s in kinds.items()) + " end")
+    moved = f"array_join(transform({_parts(m)}, p -> concat(p.b, {_moved('p.m', 'p.tag', key)}, p.a)), '')"
+    checked = f"concat(o, cast(pmod({_luhn('o')} + cast(right({m}, 1) as bigint) - {_luhn(f'left({m}, length({m}) - 1)')}, 10L) as string))"
+    return _let(kind_of(m), "kd", f"if(kd = 'name', {_name(m, key, level)}, {_let(moved, 'o', f'if(kd = {_text("card")}, {checked}, o)')})")
 
 
 def canonical(m: str) -> str:
