@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.storage import durable, table
+from quern.llm.storage import durable, table, unused
 
 KEY = "quern"
 #: Given names by script and gender; surnames' syllables by script.
@@ -176,12 +176,12 @@ def level_for(docs: DataFrame, key: str = KEY, most: int = 6, column: str = "tex
     raise RuntimeError(f"names still collide at level {most}")
 
 
-def replaced(docs: DataFrame, key: str = KEY, level: int = 0, column: str = "text") -> DataFrame:
-    """docs with surrogates in their texts, and `entities`, the matches. No shuffle."""
+def replaced(docs: DataFrame, key: str = KEY, level: int = 0, column: str = "text", out: str = "_matches") -> DataFrame:
+    """docs with surrogates in their texts, and the matches in the column out. No shuffle."""
     matches = F.regexp_extract_all(F.col(column), F.lit(PATTERN), F.lit(0))
     parts = f"split({column}, {_text(PATTERN)}, -1)"
-    woven = f"array_join(flatten(zip_with({parts}, concat(transform(_matches, m -> {surrogate('m', key, level)}), array('')), (p, s) -> array(p, s))), '')"
-    return docs.withColumn("_matches", matches).withColumn(column, F.when(F.size("_matches") > 0, F.expr(woven)).otherwise(F.col(column)))
+    woven = f"array_join(flatten(zip_with({parts}, concat(transform({out}, m -> {surrogate('m', key, level)}), array('')), (p, s) -> array(p, s))), '')"
+    return docs.withColumn(out, matches).withColumn(column, F.when(F.size(out) > 0, F.expr(woven)).otherwise(F.col(column)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,5 +195,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates in their texts; n_chars follows the text."""
-    made = replaced(docs, KEY, level_for(docs)).drop("_matches")
+    own = unused("_matches", docs)
+    made = replaced(docs, KEY, level_for(docs), out=own).drop(own)
     return made.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))).select(*docs.columns)

@@ -13,6 +13,7 @@ repeated rows are scored each. labels, lang, source and doc_id never are feature
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from quern.llm import textops
 from quern.llm.boosting import Boosted, Isotonic
-from quern.llm.storage import durable, table
+from quern.llm.storage import durable, table, unused
 
 SAMPLE = 24_000
 LEXICON = 2_000
@@ -33,6 +34,8 @@ _YOU = frozenset(
     "you your yours yourself u ur ya du dich dir dein deine deinen deinem deiner ihr euch euer sie ihnen tu te toi ton ta tes vous votre vos tú ti tus usted ustedes vosotros su sus".split()
 )
 FEATURES = 16
+#: Numbers kept of a chunk of text.
+FACTS = 12
 
 
 def stems(word: str) -> list[str]:
@@ -41,13 +44,14 @@ def stems(word: str) -> list[str]:
 
 
 def _stem_counts(batches):
-    """stem, toxic, clean: documents of each kind that have the stem, a row for each stem and batch."""
+    """stem, toxic, clean: documents of each kind that have the stem, a row for each stem and piece of a batch."""
     for batch in batches:
-        kinds = {0: Counter(), 1: Counter()}
-        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-            kinds[toxic].update({s for w in set(_LETTERS.findall((text or "").lower())) for s in stems(w)})
-        every = list(kinds[0].keys() | kinds[1].keys())
-        yield pa.RecordBatch.from_arrays([pa.array(every, pa.string()), *(pa.array([kinds[k][s] for s in every], pa.int64()) for k in (1, 0))], ["stem", "toxic", "clean"])
+        for piece in textops.pieces(batch):  # so that a worker holds the stems of few texts
+            kinds = {0: Counter(), 1: Counter()}
+            for text, toxic in zip(piece.column("text").to_pylist(), piece.column("toxic").to_pylist(), strict=True):
+                kinds[toxic].update({s for w in set(_LETTERS.findall((text or "").lower())) for s in stems(w)})
+            every = list(kinds[0].keys() | kinds[1].keys())
+            yield pa.RecordBatch.from_arrays([pa.array(every, pa.string()), *(pa.array([kinds[k][s] for s in every], pa.int64()) for k in (1, 0))], ["stem", "toxic", "clean"])
 
 
 def lexicon_of(sample: DataFrame, least: int = 3) -> dict[str, float]:
@@ -70,10 +74,13 @@ def lexicon_of(sample: DataFrame, least: int = 3) -> dict[str, float]:
 class Featurizer:
     """Dense features of texts; what is known of a chunk of text is kept for a worker."""
 
-    def __init__(self, lexicon: dict[str, float], limit: int = 400_000):
+    def __init__(self, lexicon: dict[str, float], limit: int = 200_000):
         self.lexicon, self._limit = lexicon, limit
+        self._clear()
+
+    def _clear(self) -> None:
         self._at: dict[str, int] = {}
-        self._facts: list[tuple] = []
+        self._facts = array("f")  # FACTS numbers for each chunk
 
     def _weight(self, word: str) -> tuple[float, float]:
         """Of the word, and of its strongest stem."""
@@ -97,8 +104,8 @@ class Featurizer:
         return (whole, stem, hidden, float(any(w in _YOU for w in words)), upper, letters, float(upper > 1 and upper == letters), marks, float(odd), len(chunk), float("!" in chunk), bool(whole or stem or hidden))
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
-        if len(self._at) > self._limit:
-            self._at, self._facts = {}, []
+        if len(self._facts) > FACTS * self._limit:
+            self._clear()
         chunks = pc.utf8_split_whitespace(texts)
         bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(chunks).to_numpy())])
         flat = pc.dictionary_encode(pc.list_flatten(chunks))
@@ -109,12 +116,12 @@ class Featurizer:
         for k, c in enumerate(flat.dictionary.to_pylist()):
             i = self._at.get(c)
             if i is None:
+                i = len(self._facts) // FACTS
                 if len(c) < 200:
-                    self._at[c] = len(self._facts)
-                i = len(self._facts)
-                self._facts.append(self._chunk(c))
+                    self._at[c] = i
+                self._facts.extend(self._chunk(c))
             places[k] = i
-        own = np.array([self._facts[i] for i in places], dtype=np.float64)[flat.indices.to_numpy()]
+        own = np.frombuffer(self._facts, dtype=np.float32).reshape(-1, FACTS)[places[flat.indices.to_numpy()]].astype(np.float64)
         doc = np.repeat(np.arange(n), np.diff(bounds))
         total = lambda v: np.bincount(doc, v, n)
         size = np.maximum(np.diff(bounds), 1)
@@ -189,17 +196,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(lexicon, Boosted().fit(x, y), Isotonic().fit(crossed, y), 0.0)
 
 
-def scored(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """docs with score; columns in keep go along (all by default). No shuffle."""
+def scored(docs: DataFrame, model: Model, keep: list[str] | None = None, out: str = "score") -> DataFrame:
+    """docs with their score in the column out; columns in keep go along (all by default). No shuffle."""
     keep = keep or docs.columns
-    schema = docs.select(*keep).schema.add("score", "double")
+    schema = docs.select(*keep).schema.add(out, "double")
 
     def run(batches):
         make = Featurizer(model.lexicon)
         for batch in batches:
             for piece in textops.pieces(batch):
                 score = model.score(make(textops.texts_of(piece.column("text"))))
-                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in keep), pa.array(score)], [*keep, "score"])
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in keep), pa.array(score)], [*keep, out])
 
     read = docs.select(*dict.fromkeys([*keep, "text"]))
     return read.mapInArrow(run, schema)
@@ -215,4 +222,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that aren't toxic, unchanged."""
-    return scored(docs, train(docs, table(spark, sf_dir, "labels"))).where("score < 0.5").drop("score")
+    own = unused("score", docs)
+    return scored(docs, train(docs, table(spark, sf_dir, "labels")), out=own).where(F.col(own) < 0.5).drop(own)
