@@ -43,9 +43,9 @@ def overlaps(rows: DataFrame, group: str, item: str) -> DataFrame:
     """For pairs of groups with common items: their number, and its shares of the union and of either group."""
     distinct = rows.select(F.col(group).alias("g"), F.col(item).alias("i")).distinct()
     sizes = distinct.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    shared = distinct.alias("a").join(distinct.alias("b"), "i").where("a.g < b.g").groupBy(F.col("a.g").alias("g1"), F.col("b.g").alias("g2")).agg(F.count(F.lit(1)).alias("both"))
+    shared = distinct.alias("a").join(distinct.alias("b"), "i").where("a.g < b.g").groupBy(F.col("a.g").alias("g1"), F.col("b.g").alias("g2")).agg(F.count(F.lit(1)).alias("n_both"))
     one = shared.join(sizes.select(F.col("g").alias("g1"), F.col("n").alias("n1")), "g1").join(sizes.select(F.col("g").alias("g2"), F.col("n").alias("n2")), "g2")
-    return one.select("g1", "g2", "both", (F.col("both") / (F.col("n1") + F.col("n2") - F.col("both"))).alias("of_union"), (F.col("both") / F.col("n1")).alias("of_first"), (F.col("both") / F.col("n2")).alias("of_second"))
+    return one.select("g1", "g2", "n_both", (F.col("n_both") / (F.col("n1") + F.col("n2") - F.col("n_both"))).alias("of_union"), (F.col("n_both") / F.col("n1")).alias("of_first"), (F.col("n_both") / F.col("n2")).alias("of_second"))
 
 
 def sizes_by(rows: DataFrame, row: str, column: str, values: list[str], text: str = "text") -> DataFrame:

@@ -380,8 +380,8 @@ def remove_ng_words(spark, sf_dir):
 
 
 @_query("""WITH d AS (SELECT DISTINCT source AS g, md5(text) AS i FROM documents), n AS (SELECT g, count(*) AS n FROM d GROUP BY g),
-s AS (SELECT a.g AS g1, b.g AS g2, count(*)::BIGINT AS both FROM d a JOIN d b USING (i) WHERE a.g < b.g GROUP BY 1, 2)
-SELECT g1, g2, both, both / (x.n + y.n - both)::DOUBLE AS of_union, both / x.n::DOUBLE AS of_first, both / y.n::DOUBLE AS of_second FROM s JOIN n x ON x.g = g1 JOIN n y ON y.g = g2""")
+s AS (SELECT a.g AS g1, b.g AS g2, count(*)::BIGINT AS n_both FROM d a JOIN d b USING (i) WHERE a.g < b.g GROUP BY 1, 2)
+SELECT g1, g2, n_both, n_both / (x.n + y.n - n_both)::DOUBLE AS of_union, n_both / x.n::DOUBLE AS of_first, n_both / y.n::DOUBLE AS of_second FROM s JOIN n x ON x.g = g1 JOIN n y ON y.g = g2""")
 def overlap_matrix(spark, sf_dir):
     return reports.overlaps(_docs(spark, sf_dir, "source").withColumn("_i", F.md5("text")), "source", "_i")
 
