@@ -175,11 +175,12 @@ def store_and_read(docs: DataFrame) -> DataFrame:
     files = lists.select("file", "chunks").dropDuplicates(["file"])
     places = files.select("file", F.size("chunks").alias("n_chunks"), F.posexplode("chunks").alias("seq", "digest"))
     shared = places.groupBy("digest").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > LANE).select("digest", F.ceil(F.col("_n") / LANE).cast("int").alias("_lanes"))
-    lanes = F.coalesce("_lanes", F.lit(1))
     store = docs.select("text").mapInArrow(_store, "digest binary, data binary").groupBy("digest").agg(F.first("data").alias("data"))
-    store = store.join(shared, "digest", "left").withColumn("_lane", F.explode(F.sequence(F.lit(0), lanes - 1))).drop("_lanes")
-    places = places.join(shared, "digest", "left").withColumn("_lane", F.pmod(F.xxhash64("file"), lanes).cast("int")).drop("_lanes")
-    found = places.join(store, ["digest", "_lane"]).select("file", "n_chunks", "seq", "digest", "data")
+    places, columns = places.join(shared, "digest", "left"), ["file", "n_chunks", "seq", "digest", "data"]
+    found = places.where("_lanes is null").join(store, "digest").select(columns)  # stays where the store's rows were put together
+    copies = store.join(shared, "digest").withColumn("_lane", F.explode(F.sequence(F.lit(0), F.col("_lanes") - 1))).drop("_lanes")
+    laned = places.where("_lanes is not null").withColumn("_lane", F.pmod(F.xxhash64("file"), F.col("_lanes")).cast("int"))
+    found = found.union(laned.join(copies, ["digest", "_lane"]).select(columns))
     read = found.repartition("file").sortWithinPartitions("file", "seq").mapInArrow(
         _read, "file binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
     )
