@@ -1,7 +1,7 @@
 """PII surrogates in SQL expressions: no Python runs on the executors.
 
-Detected: e-mail addresses, IBANs, SSNs, payment cards, phone numbers, IPv4 addresses, and personal names after a title. Each
-gets a surrogate of its kind, keyed and the same wherever it occurs:
+Detected: e-mail addresses, IBANs, SSNs, payment cards, phone numbers, IPv4 addresses, and personal names after a title, with
+what else the same text holds of the whole name or its last word. Each gets a surrogate of its kind, keyed and the same wherever it occurs:
 
 - letters and digits go through a keyed permutation (alternating Feistel rounds over the mixed radix of the entity's own letters
   and digits), so different entities get different surrogates; case, punctuation and length stay. The domain of an address
@@ -46,7 +46,7 @@ _EITHER = ("Dr", "Prof")
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLE = "|".join(sorted((*_MALE, *_FEMALE, *_EITHER), key=len, reverse=True))
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?<=\.[A-Za-z]{2,24})"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])"
 IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 CARD = r"(?<!\w)(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\w)"
@@ -176,11 +176,28 @@ def level_for(docs: DataFrame, key: str = KEY, most: int = 6, column: str = "tex
     raise RuntimeError(f"names still collide at level {most}")
 
 
+def _mentions(found: str, made: str) -> str:
+    """SQL: array of (what stands in the text without a title, its surrogate) for the names among the matches found, longest first."""
+    names = f"filter(zip_with({found}, {made}, (m, s) -> struct(split(m, ' ') as m, split(s, ' ') as s, {kind_of('m')} as k)), x -> x.k = 'name')"
+    bare = lambda w: f"regexp_replace({w}, {_text(chr(91) + chr(39) + chr(8217) + ']s$|[' + chr(39) + chr(8217) + '-]+$')}, '')"
+    whole = lambda w: f"array_join(slice({w}, 2, size({w}) - 1), ' ')"
+    both = f"flatten(transform({names}, x -> array(struct({bare(whole('x.m'))} as w, {bare(whole('x.s'))} as s), struct({bare('element_at(x.m, -1)')} as w, {bare('element_at(x.s, -1)')} as s))))"
+    return f"transform(array_sort(array_distinct(transform(filter({both}, e -> length(e.w) > 1), e -> struct(-length(e.w) as l, e.w as w, e.s as s)))), e -> struct(e.w as w, e.s as s))"
+
+
+def _reworded(p: str) -> str:
+    """SQL: the text p, which holds no match, with the mentions ms replaced in one pass."""
+    pattern = "concat('(?<![\\\\p{L}\\\\p{N}])(?:', array_join(transform(ms, e -> e.w), '|'), ')(?![\\\\p{L}\\\\p{N}])')"
+    found = f"transform(regexp_extract_all({p}, pt, 0), w -> element_at(filter(ms, e -> e.w = w), 1).s)"
+    return _let(pattern, "pt", f"array_join(flatten(zip_with(split({p}, pt, -1), concat({found}, array('')), (a, b) -> array(a, b))), '')")
+
+
 def replaced(docs: DataFrame, key: str = KEY, level: int = 0, column: str = "text", out: str = "_matches") -> DataFrame:
     """docs with surrogates in their texts, and the matches in the column out. No shuffle."""
     matches = F.regexp_extract_all(F.col(column), F.lit(PATTERN), F.lit(0))
     parts = f"split({column}, {_text(PATTERN)}, -1)"
-    woven = f"array_join(flatten(zip_with({parts}, concat(transform({out}, m -> {surrogate('m', key, level)}), array('')), (p, s) -> array(p, s))), '')"
+    between = _let(_mentions(out, "su"), "ms", f"if(size(ms) = 0, {parts}, transform({parts}, p -> {_reworded('p')}))")
+    woven = _let(f"transform({out}, m -> {surrogate('m', key, level)})", "su", f"array_join(flatten(zip_with({between}, concat(su, array('')), (p, s) -> array(p, s))), '')")
     return docs.withColumn(out, matches).withColumn(column, F.when(F.size(out) > 0, F.expr(woven)).otherwise(F.col(column)))
 
 

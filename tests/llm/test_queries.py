@@ -287,3 +287,23 @@ def test_op10_surrogates(run, folder):
                 assert luhn(a) == luhn(b) or luhn(a) != 0
     kinds = Counter(of.values())
     assert all(n == 1 for n in kinds.values())  # distinctness
+
+
+def test_op10_addresses_end_before_what_follows_and_names_go_without_title(spark):
+    """Expectations that don't come from PATTERN."""
+    from quern.llm import pii
+
+    addresses = ["joe@acme.com--thanks", "joe@acme.com-Bob", "joe@acme.com.2024", "joe@acme.com-2024.", "joe@acme-.com", "joe@a.b-c.co.uk, and"]
+    names = ["Mr. John Smith wrote. Later Smith said (John Smith!) that Smithson and Johnny left; Smith's hat.", "Before, Müller; Frau Müller's car, then Müller."]
+    rows = [(k, t) for k, t in enumerate([*addresses, *names, "Smith stays: no title here."])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.replaced(docs).collect()}
+    for k, text in rows[: len(addresses)]:
+        assert "joe@" not in got[k] and "@acme" not in got[k] and "a.b-c" not in got[k]
+        tail = re.search(r"\.(com|uk)\b.*", text)[0]
+        assert got[k].endswith(tail) and len(got[k]) == len(text)
+    one, two = got[len(addresses)], got[len(addresses) + 1]
+    given, surname = re.match(r"Mr\. (\S+) (\S+) wrote", one).groups()
+    assert one == f"Mr. {given} {surname} wrote. Later {surname} said ({given} {surname}!) that Smithson and Johnny left; {surname}'s hat."
+    assert "Müller" not in two and two.startswith("Before, ") and two.endswith(".")
+    assert got[len(rows) - 1] == rows[-1][1]
