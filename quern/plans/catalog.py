@@ -496,7 +496,7 @@ def perplexity(spark, sf_dir):
     from quern.functions import lm
 
     docs = _docs(spark, sf_dir)
-    return lm.score_distinct(_rows(spark, sf_dir), "text", lm.train(docs, "text", 2, 5000))
+    return lm.score_by_table(_rows(spark, sf_dir), "text", durable(lm.counted(docs, "text")))
 
 
 def queries():
