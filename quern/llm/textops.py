@@ -40,13 +40,13 @@ def texts_of(column) -> pa.Array:
     return pc.fill_null(column.cast(pa.string()) if column.type != pa.string() else column, "")
 
 
-def pieces(batch: pa.RecordBatch, column: str = "text"):
-    """Parts of the batch with about PIECE_BYTES of text each."""
+def pieces(batch: pa.RecordBatch, column: str = "text", bytes_at_once: int = PIECE_BYTES):
+    """Parts of the batch with about bytes_at_once of text each."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < batch.num_rows:
         done = sizes[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(sizes, done + PIECE_BYTES, "right")))
+        to = max(at + 1, int(np.searchsorted(sizes, done + bytes_at_once, "right")))
         yield batch.slice(at, to - at)
         at = to
 
