@@ -28,20 +28,38 @@ def lz4_ratio(texts: pd.Series) -> pd.Series:
     return texts.map(one).astype("float64")
 
 
-@functools.cache
-def _signs(bits: int, seed: int) -> np.ndarray:
-    return np.random.Generator(np.random.PCG64(seed)).integers(0, 2**63, 4, dtype=np.uint64)
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit values whose results look independent."""
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> np.uint64(33))
+
+
+def char_gram_hashes(text: str, shortest: int, longest: int, seed: int = 0) -> np.ndarray:
+    """64 bits for each character n-gram of the orders, in no line's end."""
+    out = []
+    for line in text.split("\n"):
+        codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
+        for n in range(shortest, longest + 1):
+            size = len(codes) - n + 1
+            if size > 0:
+                h = np.full(size, n + 16 * seed, dtype=np.uint64)
+                for k in range(n):
+                    h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + size])
+                out.append(h)
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
 def simhash_words(text: str, orders: tuple[int, int] = (2, 4), seed: int = 0) -> tuple[int, int]:
     """128 bits as two signed longs: the sign of a sum of random signs over all character n-grams of the orders."""
+    h = char_gram_hashes(text, *orders, seed)
+    if not len(h):
+        h = _mixed(np.array([xxhash.xxh3_64_intdigest(text.encode(), seed=seed)], dtype=np.uint64))
+    raw = np.stack([h, _mixed(h ^ np.uint64(0xD1B54A32D192ED03))], axis=1).view(np.uint8).reshape(len(h), 16)
     total = np.zeros(128, dtype=np.int64)
-    lines = text.split("\n")
-    grams = [line[i : i + n] for line in lines for n in range(orders[0], orders[1] + 1) for i in range(max(0, len(line) - n + 1))] or [text]
-    raw = b"".join(xxhash.xxh128_digest(g.encode(), seed=seed) for g in grams)
-    bits = np.unpackbits(np.frombuffer(raw, dtype=np.uint8).reshape(-1, 16), axis=1)
-    total += 2 * bits.sum(axis=0, dtype=np.int64) - len(grams)
-    high, low = np.packbits(total > 0).view(">i8")
+    for at in range(0, len(h), 4096):
+        total += np.unpackbits(raw[at : at + 4096], axis=1).sum(axis=0, dtype=np.int64)
+    high, low = np.packbits(2 * total > len(h)).view(">i8")
     return int(high), int(low)
 
 
@@ -50,6 +68,26 @@ def simhash(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([simhash_words(t or "") for t in texts], columns=["high", "low"], dtype="int64")
 
 
+@functools.cache
+def _family(count: int) -> np.ndarray:
+    return np.random.Generator(np.random.PCG64(count)).integers(0, 2**63, (count, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def minhash_bytes(text: str, orders: tuple[int, int] = (3, 4), count: int = 32) -> bytes:
+    """A byte for each of `count` MinHash values of the text's character n-grams; zeros without n-grams."""
+    h = np.unique(char_gram_hashes(text, *orders))
+    if not len(h):
+        return bytes(count)
+    family = _family(count)
+    least = np.array([(h * a + b).min() for a, b in family], dtype=np.uint64)
+    return (_mixed(least) >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
+@F.pandas_udf(T.BinaryType())
+def gram_sketch(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: minhash_bytes(t or ""))
+
+
 def edit_distance(a: list[str], b: list[str]) -> int:
     """Levenshtein over tokens, a row of numpy at a time."""
     number: dict[str, int] = {}

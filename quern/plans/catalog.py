@@ -473,7 +473,7 @@ def simhash_groups(spark, sf_dir):
 @_query()
 def simhash_sliding(spark, sf_dir):
     rows = sim.prepare(paragraphs.frequencies(_rows(spark, sf_dir)).where(T.has_content(F.col("text"))))
-    return paragraphs.statistics(sim.sliding(rows, 3).select("hash", "repr_hash", "freq"))
+    return paragraphs.statistics(sim.sliding(rows).select("hash", "repr_hash", "freq"))
 
 
 @_query()
