@@ -1,4 +1,7 @@
-"""Results kept once in the folder that all executors share, so that lost executors cost no recomputation."""
+"""Results kept once in the folder that all executors share, so that lost executors cost no recomputation.
+
+durable() tables last until the process ends, until release(), or, inside settled(), until the result that is made from them is written.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +9,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,7 +19,7 @@ _kept: set[str] = set()
 
 
 def _shared(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or the folder the context has been given; a temporary one on a machine where neither is set."""
+    """spark.checkpoint.dir, or the folder the context has been given; a temporary one where neither is set and all runs on this machine."""
     global _local
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -23,6 +27,8 @@ def _shared(spark: SparkSession) -> str:
     given = spark.sparkContext._jsc.sc().getCheckpointDir()
     if given.isDefined():
         return given.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     _local = _local or "file://" + tempfile.mkdtemp(prefix="quern-")
     return _local
 
@@ -55,6 +61,15 @@ def durable(df: DataFrame) -> DataFrame:
     return kept
 
 
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """durable(make()), after which the other tables that make() kept on its way are deleted."""
+    before = set(_kept)
+    done = durable(make())
+    for path in _kept - before - {getattr(done, _PLACE)}:
+        _delete(path)
+    return done
+
+
 def release(*frames: DataFrame | None) -> None:
     """Deletes the tables behind frames that durable() returned; nothing may read them, or what was made from them, afterwards."""
     for df in frames:

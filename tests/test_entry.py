@@ -52,3 +52,18 @@ def test_query_agrees_with_sql(spark, duck, sf_dir, name):
 @pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(catalog.oracle_sql())))
 def test_query_without_twin_runs(spark, sf_dir, name):
     assert catalog.queries()[name](spark, sf_dir).count() > 0
+
+
+def test_entry_works_without_the_removable_parts(tmp_path):
+    """A copy without the llm folders, though corpus_pipeline.py may still lie there."""
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(__spark_entry__.__file__))
+    shutil.copytree(f"{root}/quern", tmp_path / "quern", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if os.path.exists(f"{root}/{name}"):
+            shutil.copy(f"{root}/{name}", tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' not in q and not any(n.startswith('op1') for n in q) and set(e.oracle_sql()) <= set(q)"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, check=True)
