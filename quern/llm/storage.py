@@ -1,12 +1,12 @@
-"""Reading tables; durable() and release() keep and drop results in the folder all executors share."""
+"""Reading tables; durable(), settled() and release() keep and drop results in the folder all executors share."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.operators.durable import durable, release
+from quern.operators.durable import durable, release, settled
 
-__all__ = ["durable", "release", "table", "unused"]
+__all__ = ["durable", "release", "settled", "table", "unused"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
