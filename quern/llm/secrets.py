@@ -2,9 +2,12 @@
 
 Two models of order 2 over character classes of single letters, digits and signs are trained from labelled samples. A token of
 MIN_TOKEN or more characters that no base span covers is a secret (`markov`) when its log-likelihood ratio a character is above a
-threshold, which is set on held-out samples so that at most one ordinary token in MAX_FALSE is taken for random.
+threshold: 0, or higher where more than one in MAX_FALSE of the held-out ordinary samples (a quarter of SAMPLES) would be taken for random.
+The models are trained once, on the driver.
 
-Edge cases: a null text counts as empty and has no spans; spans count code points, end exclusive; repeated rows are scanned each.
+Edge cases: a null text counts as empty and has no spans; spans count code points, end exclusive; spans of one start are told in the order of
+KINDS; repeated rows are scanned each, with equal results; a text of any length is scanned whole; an empty table gives an empty result; only
+doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ _HEX = re.compile("[0-9a-f]{24,}")
 _TOKEN = re.compile("[A-Za-z0-9+/_=-]{20,}")
 MIN_TOKEN = 20
 MAX_FALSE = 2000
+#: Random and as many ordinary samples.
+SAMPLES = 40_000
 
 _SYMBOLS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 _INDEX = np.full(128, -1, dtype=np.int64)
@@ -55,7 +60,7 @@ _WORDS = (
 ).split()
 
 
-def labelled_samples(n: int = 6000, seed: int = 4) -> list[tuple[str, int]]:
+def labelled_samples(n: int = SAMPLES, seed: int = 4) -> list[tuple[str, int]]:
     """(token, 1 if random): keys over the usual alphabets, and identifiers, paths, dates and long words."""
     r = random.Random(seed)
     alphabets = [_SYMBOLS[:64], _SYMBOLS[:62], _SYMBOLS[26:62], _SYMBOLS[:26] + _SYMBOLS[52:62], "0123456789abcdef", "0123456789ABCDEF", _SYMBOLS[:62] + "-_"]
@@ -91,22 +96,20 @@ class Markov:
 
     def __init__(self, samples: list[tuple[str, int]]):
         train, held = samples[: len(samples) * 3 // 4], samples[len(samples) * 3 // 4 :]
-        s = len(_SYMBOLS)
-        tables = []
+        n, tables = len(_SYMBOLS), []
+        share = lambda t: t / t.sum(-1, keepdims=True)
         for label in (1, 0):
-            one, two, three = np.full(s, 1.0), np.full((s, s), 0.05), np.full((s * s, s), 0.005)
-            for token, kind in train:
-                if kind == label:
-                    v = self._values(token)
-                    np.add.at(one, v, 1)
-                    np.add.at(two, (v[:-1], v[1:]), 1)
-                    np.add.at(three, (v[:-2] * s + v[1:-1], v[2:]), 1)
-            share = lambda t: t / t.sum(-1, keepdims=True)
-            mix = 0.2 * share(one)[None, None] + 0.4 * share(two)[None] + 0.4 * share(three).reshape(s, s, s)
-            tables.append(np.log(mix))
+            tokens = [t for t, kind in train if kind == label]
+            v, size = self._values("".join(tokens)), np.array([len(t) for t in tokens])
+            place = np.arange(len(v)) - np.repeat(np.cumsum(size) - size, size)  # within its token
+            two, three = np.flatnonzero(place >= 1), np.flatnonzero(place >= 2)
+            one = np.bincount(v, minlength=n) + 1.0
+            pairs = np.bincount(v[two - 1] * n + v[two], minlength=n * n).reshape(n, n) + 0.05
+            triples = np.bincount((v[three - 2] * n + v[three - 1]) * n + v[three], minlength=n**3).reshape(n, n, n) + 0.005
+            tables.append(np.log(0.2 * share(one)[None, None] + 0.4 * share(pairs)[None] + 0.4 * share(triples)))
         self._ratio = tables[0] - tables[1]
         ordinary = sorted((self.ratio(t) for t, kind in held if not kind), reverse=True)
-        self.threshold = max(0.35, ordinary[len(ordinary) // MAX_FALSE] + 0.05 if ordinary else 0.35)
+        self.threshold = max(0.0, ordinary[len(ordinary) // MAX_FALSE] if ordinary else 0.0)
 
     @staticmethod
     def _values(token: str) -> np.ndarray:
@@ -115,7 +118,7 @@ class Markov:
     def ratio(self, token: str) -> float:
         """Log-likelihood ratio a character."""
         v = self._values(token)
-        return float(self._ratio[v[:-2], v[1:-1], v[2:]].mean())
+        return float(self._ratio[v[:-2], v[1:-1], v[2:]].mean()) if len(v) > 2 else float("-inf")
 
     def is_random(self, token: str) -> bool:
         """A random token also has a digit and a letter; words alone aren't keys."""
@@ -124,8 +127,7 @@ class Markov:
 
 @functools.cache
 def default_model() -> Markov:
-    samples = labelled_samples()
-    return Markov(samples)
+    return Markov(labelled_samples())
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -156,26 +158,29 @@ def model_spans(text: str, base: list[tuple[str, int, int]], model: Markov) -> l
     return out
 
 
-def _scan(batches):
-    model = default_model()
+def _scan(model: Markov):
     names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_markov"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
     told = lambda spans: ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
-    for batch in batches:
-        for part in textops.pieces(batch):
-            rows = []
-            for text in textops.texts_of(part.column("text")).to_pylist():
-                base = base_spans(text)
-                more = model_spans(text, base, model)
-                count = [sum(s[0] == k for s in base) for k in KINDS[:3]]
-                every = sorted([*base, *more], key=lambda s: (s[1], KINDS.index(s[0])))
-                rows.append((*count, hashlib.sha256(told(base).encode()).hexdigest(), told(every), len(more)))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))], names)
-
-
-def scan(docs: DataFrame) -> DataFrame:
+
+    def run(batches):
+        for batch in batches:
+            for part in textops.pieces(batch):
+                rows = []
+                for text in textops.texts_of(part.column("text")).to_pylist():
+                    base = base_spans(text)
+                    more = model_spans(text, base, model)
+                    count = [sum(s[0] == k for s in base) for k in KINDS[:3]]
+                    every = sorted([*base, *more], key=lambda s: (s[1], KINDS.index(s[0])))
+                    rows.append((*count, hashlib.sha256(told(base).encode()).hexdigest(), told(every), len(more)))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))], names)
+
+    return run
+
+
+def scan(docs: DataFrame, model: Markov | None = None) -> DataFrame:
     """Spans of secrets in docs (doc_id, text). No shuffle."""
-    return docs.select("doc_id", "text").mapInArrow(_scan, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_markov long")
+    return docs.select("doc_id", "text").mapInArrow(_scan(model or default_model()), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_markov long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
