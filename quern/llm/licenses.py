@@ -1,17 +1,22 @@
 """License scans: a generalised suffix automaton of the tokens of licence templates.
 
 Files are streamed through the automaton; at each token it gives the longest suffix that some template has (the matching
-statistic) and where. Matches of MIN_MATCH tokens or more are chained in order for each template, and the tokens they cover
-are held against the template's length: a template that is covered to LEAST or more gives its label. Tokens that no template has
-can't be in a match, so only the runs between them are streamed. Phrases of the base rule give labels of their own.
+statistic), and its suffix links give the longest one of every template, at every place there. Matches of MIN_MATCH tokens or more are
+chained for each template: the chain ascends in the file and the template and covers the greatest weight of the template's tokens, where a token
+that templates of n labels have weighs 1 / n. A template gives its label when LEAST of its weight is covered and what tells it from
+templates of other labels is there: all tokens of a template of up to SHORT tokens; of a longer one those that a template of another label,
+which would cover LEAST of it, lacks. Tokens that no template has can't be in a match, so only the runs between them are streamed. Phrases of
+the base rule give labels of their own.
 
 Words: A-Z lowered, then `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`. Edge cases: a null text counts as empty and has no words and score 0;
-repeated rows are scanned each.
+repeated rows are scanned each; of equally good chains the shortest in the file is told, then the first; a text of any length is scanned whole
+(a chain costs its matched tokens times their logarithm); an empty table gives an empty result; only doc_id and text are read.
 """
 
 from __future__ import annotations
 
 import functools
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +28,9 @@ from quern.llm.storage import table
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 MIN_MATCH = 3
 LEAST = 0.6
+SHORT = 16
 
-#: label, then texts of which each is a template.
+#: Wordings of public licences and of notices that name them. label, then texts of which each is a template.
 TEMPLATES: list[tuple[str, str]] = [
     ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
 files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
@@ -83,27 +89,26 @@ def tokens(text: str) -> list[str]:
 
 
 class SuffixAutomaton:
-    """Generalised over several sequences. A state knows, for each sequence it is in, where its strings first end there."""
+    """Generalised over several sequences. A state knows all places (sequence, last position) where its strings end."""
 
     def __init__(self, sequences: list[list[int]]):
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        self.ends: list[dict[int, int]] = [{}]
+        self.ends: list[set[tuple[int, int]]] = [set()]
         for which, sequence in enumerate(sequences):
             last = 0
             for at, token in enumerate(sequence):
                 last = self._extend(last, token)
-                self.ends[last].setdefault(which, at)
+                self.ends[last].add((which, at))
         for state in sorted(range(1, len(self.link)), key=lambda s: -self.length[s]):
-            up = self.ends[self.link[state]]
-            for which, at in self.ends[state].items():
-                up[which] = min(up.get(which, at), at)
+            if self.link[state]:
+                self.ends[self.link[state]] |= self.ends[state]
 
     def _state(self, length: int, link: int, following: dict[int, int]) -> int:
         self.next.append(following)
         self.length.append(length)
         self.link.append(link)
-        self.ends.append({})
+        self.ends.append(set())
         return len(self.link) - 1
 
     def _split(self, p: int, token: int) -> int:
@@ -141,6 +146,15 @@ class SuffixAutomaton:
             yield matched, state
 
 
+class Chain(NamedTuple):
+    """Share of a template's weight, start and end in the file, positions of the template."""
+
+    share: float
+    start: int
+    end: int
+    covered: set[int]
+
+
 class Scanner:
     def __init__(self, templates: list[tuple[str, str]] = TEMPLATES):
         self.labels = [label for label, _ in templates]
@@ -149,7 +163,8 @@ class Scanner:
         self.word_bytes = [w.encode() for w in vocabulary]
         number = {w: k for k, w in enumerate(vocabulary)}
         self.sizes = [len(t) for t in words]
-        self.automaton = SuffixAutomaton([[number[w] for w in t] for t in words])
+        sequences = [[number[w] for w in t] for t in words]
+        self.automaton = SuffixAutomaton(sequences)
         joined = " ".join(vocabulary).encode()
         data = np.frombuffer(joined, dtype=np.uint8)
         found = textops.Words(data, np.array([0, len(data)]), textops.ALNUM_WORDS)
@@ -157,39 +172,86 @@ class Scanner:
         self._order = np.argsort(hashes)
         self._sorted = hashes[self._order]
         self.phrases = [([number[w] for w in p.split()], label) for p, label in PHRASES.items()]
+        of: dict[str, set] = {}
+        for label, t in zip(self.labels, words, strict=True):
+            for w in t:
+                of.setdefault(w, set()).add(label)
+        self.weights = [[1 / len(of[w]) for w in t] for t in words]
+        self.required: list[list[set[int]]] = []
+        for which, size in enumerate(self.sizes):
+            self.required.append([set(range(size))] if size <= SHORT else self._telling(which, sequences))
+
+    def _telling(self, which: int, sequences: list[list[int]]) -> list[set[int]]:
+        """Positions of a template that others, of which each would cover LEAST of it, lack."""
+        out = []
+        for other, sequence in enumerate(sequences):
+            if self.labels[other] != self.labels[which]:
+                found = self.spans(sequence).get(which)
+                if found:
+                    chain = self.chain(which, found)
+                    if chain.share >= LEAST:
+                        out.append(set(range(self.sizes[which])) - chain.covered)
+        return out
 
     def numbers(self, words: textops.Words) -> np.ndarray:
-        """The vocabulary's number of each word, or -1. Equal hashes are confirmed on the bytes where a match could come of them."""
+        """The vocabulary's number of each word by its hash, or -1. Words in matches are confirmed on their bytes."""
         h = words.hashes()
         at = np.minimum(np.searchsorted(self._sorted, h), len(self._sorted) - 1)
         return np.where(self._sorted[at] == h, self._order[at], -1)
 
+    def _places(self, matched: int, state: int) -> dict[tuple[int, int], int]:
+        """For all places (template, last position) with MIN_MATCH tokens in common or more: how many, from the longest suffix on."""
+        out: dict[tuple[int, int], int] = {}
+        while state > 0 and matched >= MIN_MATCH:
+            for place in self.automaton.ends[state]:
+                out.setdefault(place, matched)
+            state = self.automaton.link[state]
+            matched = self.automaton.length[state]
+        return out
+
     def spans(self, sequence: list[int]) -> dict[int, list[tuple[int, int, int]]]:
-        """By template: maximal matches of MIN_MATCH or more tokens as (start in the file, start in the template, length)."""
+        """By template: all maximal matches of MIN_MATCH or more tokens as (start in the file, start in the template, length)."""
         out: dict[int, list[tuple[int, int, int]]] = {}
-        steps = list(self.automaton.stream(sequence))
-        for i, (matched, state) in enumerate(steps):
-            if matched >= MIN_MATCH and (i + 1 == len(steps) or steps[i + 1][0] <= matched):
-                for which, end in self.automaton.ends[state].items():
-                    out.setdefault(which, []).append((i - matched + 1, end - matched + 1, matched))
+        before: dict[tuple[int, int], int] = {}
+        for i, (matched, state) in enumerate([*self.automaton.stream(sequence), (0, 0)]):
+            now = self._places(matched, state) if matched >= MIN_MATCH else {}
+            for (which, end), n in before.items():
+                if now.get((which, end + 1)) != n + 1:
+                    out.setdefault(which, []).append((i - n, end - n + 1, n))
+            before = now
         return out
 
-    def covered(self, which: int, matches: list[tuple[int, int, int]]) -> float:
-        """Share of the template's tokens that the best chain of matches covers.
-
-        A chain ascends in the file and the template; a link of it passes over 200 other matches at most, so a file that repeats
-        a licence thousands of times takes time in proportion.
-        """
-        matches = sorted(set(matches))
-        best: list[int] = []
-        for k, (a, t, n) in enumerate(matches):
-            top = n
-            for j in range(max(0, k - 200), k):
-                a2, t2, n2 = matches[j]
-                if a2 < a and t2 < t:
-                    top = max(top, best[j] + n - max(0, a2 + n2 - a, t2 + n2 - t))
-            best.append(top)
-        return min(1.0, max(best, default=0) / self.sizes[which])
+    def chain(self, which: int, matches: list[tuple[int, int, int]]) -> Chain:
+        """The heaviest ascending chain of tokens that stand in matches."""
+        points = sorted({(a + k, -(t + k)) for a, t, n in matches for k in range(n)})
+        weight, size = self.weights[which], self.sizes[which]
+        tree: list[tuple] = [(0.0, 0, -1)] * (size + 1)  # by ends of prefixes: (weight, start in the file, point) of the best chain
+        before = []
+        best = (0.0, 0, -1)
+        for k, (i, t) in enumerate(points):
+            t, top, at = -t, (0.0, i, -1), -t
+            while at > 0:  # chains that end before t
+                if tree[at][0] > top[0] or (tree[at][0] == top[0] and tree[at][2] >= 0 and tree[at][1] > top[1]):
+                    top = tree[at]
+                at &= at - 1
+            before.append(top[2])
+            mine = (top[0] + weight[t], top[1], k)
+            if mine[0] > best[0] + 1e-9 or (mine[0] > best[0] - 1e-9 and best[2] >= 0 and i - mine[1] < points[best[2]][0] - best[1]):
+                best = mine
+            at = t + 1
+            while at <= size:
+                if mine[0] > tree[at][0] or (mine[0] == tree[at][0] and mine[1] > tree[at][1]):
+                    tree[at] = mine
+                at += at & -at
+        covered, k = set(), best[2]
+        while k >= 0:
+            covered.add(-points[k][1])
+            k = before[k]
+        return Chain(min(1.0, best[0] / sum(weight)), best[1], points[best[2]][0] + 1 if points else 0, covered)
+
+    def found(self, which: int, chain: Chain) -> bool:
+        """Whether the chain gives the template's label."""
+        return chain.share >= LEAST and all(len(chain.covered & t) >= (len(t) if len(t) <= SHORT else LEAST * len(t)) for t in self.required[which])
 
 
 @functools.cache
@@ -233,15 +295,20 @@ def _scan(batches):
             matches: list[dict] = [{} for _ in range(n)]
             for a, b in _runs(numbers, words.doc):
                 d = int(words.doc[a])
-                for which, found in scanner.spans(numbers[a:b].tolist()).items():
+                run = numbers[a:b].tolist()
+                here = scanner.spans(run)
+                if here and any(words.bytes_at(a + k) != scanner.word_bytes[w] for k, w in enumerate(run)):  # equal hashes of other words
+                    here = scanner.spans([w if words.bytes_at(a + k) == scanner.word_bytes[w] else -1 for k, w in enumerate(run)])
+                for which, found in here.items():
                     shift = a - int(words.first[d])
                     matches[d].setdefault(which, []).extend((s + shift, t, m) for s, t, m in found)
             rows = []
             for d in range(n):
-                share = {w: scanner.covered(w, m) for w, m in matches[d].items()}
-                labels = base[d] | {scanner.labels[w] for w, s in share.items() if s >= LEAST}
-                spans = sorted((min(m)[0], max(s + k for s, _, k in m), scanner.labels[w]) for w, m in matches[d].items() if share[w] >= LEAST)
-                score = max([*share.values(), 1.0 if base[d] else 0.0], default=0.0)
+                chains = {w: scanner.chain(w, m) for w, m in matches[d].items()}
+                told = {w: c for w, c in chains.items() if scanner.found(w, c)}
+                labels = base[d] | {scanner.labels[w] for w in told}
+                spans = sorted((c.start, c.end, scanner.labels[w]) for w, c in told.items())
+                score = max([*(c.share for c in chains.values()), 1.0 if base[d] else 0.0], default=0.0)
                 rows.append((int(words.first[d + 1] - words.first[d]), len(places[d]), min(places[d], default=None), max(places[d], default=None), ",".join(sorted(base[d])), ",".join(sorted(labels)), score, ",".join(f"{label}:{a}:{b}" for a, b, label in spans)))
             yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))], names)
 
