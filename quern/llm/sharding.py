@@ -1,12 +1,13 @@
 """Sharding by best-fit-decreasing bin packing of indivisible groups.
 
 Groups, sorted by size, enter the bin whose remaining capacity is the tightest that still holds them; a balanced tree keeps
-the bins by remaining capacity. The packer never sees one row per group of the corpus: groups of at least
-total / (shards * FINE) bytes are packed one by one (there are at most shards * FINE of these), all smaller groups
-travel in shards * BUNDLES bundles by the hash of their key. What reaches the driver is bounded by these two products.
+the bins by remaining capacity. Every group is packed by its own size. Groups of one size are alike to the plan, so it is made from the number
+of groups of each size, and each group finds its bin by its rank among those of its size. D distinct sizes need at least D * D / 2
+bytes of texts, so at most sqrt(2 * total bytes) rows reach the driver.
 
-Edge cases: a null text counts as empty (size 8) and shares the group of the empty text; repeated rows take a slot each;
-an empty table gives an empty result; a group larger than a fair share has its shard to itself as far as sizes allow.
+Edge cases: a null text counts as empty (size 8) and shares the group of the empty text; repeated rows take a slot each; groups of equal
+size are told apart by their key, rows of a shard by doc_id and key; a group larger than a fair share has its shard to itself as far as
+sizes allow; an empty table gives an empty result; texts of any length count whole; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql import Window as W
 
 from quern.llm.storage import durable, table
 
-FINE = 64
-BUNDLES = 256
+#: Groups with more than this share of all rows are joined by broadcast; there are fewer than 1 / HEAVY of them.
+HEAVY = 0.001
 SLOT_LANES = 64
 
 
@@ -110,36 +111,49 @@ class CapacityTree:
         return best
 
 
-def best_fit_decreasing(units: list[tuple[int, object]], capacity: int) -> tuple[dict, int]:
-    """Bin of each unit, and the number of bins. units: (size, key); a unit above the capacity gets a bin of its own."""
-    tree, bins, at = CapacityTree(), 0, {}
-    for size, key in sorted(units, key=lambda u: (-u[0], str(u[1]))):
-        found = tree.tightest(size)
-        if found is None:
-            found = (max(capacity, size), bins)
-            bins += 1
-        else:
-            tree.remove(found)
-        at[key] = found[1]
-        tree.insert((found[0] - size, found[1]))
-    return at, bins
+Lines = dict[int, list[tuple[int, int, int]]]
+
+
+def best_fit_decreasing(classes: dict[int, int], capacity: int, most: int | None = None) -> tuple[Lines, int] | None:
+    """(first rank, groups, bin) for intervals of ranks of groups by size, and the number of bins; None if more than `most` are needed.
+
+    classes: number of groups by size. A group above the capacity gets a bin of its own. The bin that takes the first group of a size
+    is the tightest for the next as well, for as long as it holds them.
+    """
+    tree, bins, lines = CapacityTree(), 0, {}
+    for size in sorted(classes, reverse=True):
+        at, left = 0, classes[size]
+        while left:
+            found = tree.tightest(size)
+            if found is None:
+                if bins == most:
+                    return None
+                found = (max(capacity, size), bins)
+                bins += 1
+            else:
+                tree.remove(found)
+            n = min(left, found[0] // size)
+            lines.setdefault(size, []).append((at, n, found[1]))
+            tree.insert((found[0] - n * size, found[1]))
+            at, left = at + n, left - n
+    return lines, bins
 
 
-def pack_into(units: list[tuple[int, object]], shards: int) -> dict:
-    """Bin of each unit for the smallest capacity, to a 4096th of a fair share, at which no more than shards bins are needed."""
-    if not units:
+def pack_into(classes: dict[int, int], shards: int) -> Lines:
+    """Lines for the smallest capacity, to a 4096th of a fair share, at which no more than shards bins are needed."""
+    if not classes:
         return {}
-    total = sum(s for s, _ in units)
+    total = sum(s * n for s, n in classes.items())
     low = max(-(-total // shards), 1)
     step = max(low // 4096, 1)
-    most = max(low, *(s for s, _ in units))
-    a, b = 0, (most + low) // step + 1  # at this capacity first fit surely suffices
-    best, bins = best_fit_decreasing(units, low + b * step)
+    a, b, best = 0, 1, None
+    while (found := best_fit_decreasing(classes, low + b * step, shards)) is None:
+        a, b = b + 1, 4 * b
+    best = found[0]
     while a < b:
         mid = (a + b) // 2
-        at, bins = best_fit_decreasing(units, low + mid * step)
-        if bins <= shards:
-            best, b = at, mid
+        if found := best_fit_decreasing(classes, low + mid * step, shards):
+            best, b = found[0], mid
         else:
             a = mid + 1
     return best
@@ -148,19 +162,19 @@ def pack_into(units: list[tuple[int, object]], shards: int) -> dict:
 def assign(rows: DataFrame, group: str, size: str, shards: int, out: str = "shard") -> DataFrame:
     """rows with the shard of each row's group. rows should be cheap to read again: it is read three times."""
     spark = rows.sparkSession
-    groups = rows.groupBy(group).agg(F.sum(size).alias("_size"))
-    total = groups.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0]
-    least = max(total // (shards * FINE), 1)
-    bundle = F.pmod(F.xxhash64(group), F.lit(shards * BUNDLES)).cast("string")
-    large = F.col("_size") >= least
-    unit = F.when(large, F.concat(F.lit("g"), F.hex(group))).otherwise(bundle)
-    units = [(r["_size"], r["_unit"]) for r in groups.groupBy(unit.alias("_unit")).agg(F.sum("_size").alias("_size")).collect()]
-    at = pack_into(units, shards)
-    schema = T.StructType([T.StructField("_unit", T.StringType()), T.StructField(out, T.IntegerType())])
-    plan = F.broadcast(spark.createDataFrame(list(at.items()), schema))
-    singles = F.broadcast(spark.createDataFrame([(k,) for k in at if k[0] == "g"], "_single string"))
-    keyed = rows.join(singles, F.concat(F.lit("g"), F.hex(group)) == F.col("_single"), "left").withColumn("_unit", F.coalesce("_single", bundle))
-    return keyed.join(plan, "_unit").drop("_unit", "_single")
+    groups = durable(rows.groupBy(group).agg(F.sum(size).alias("_size"), F.count(F.lit(1)).alias("_n")))
+    classes = groups.groupBy("_size").agg(F.count(F.lit(1)).alias("n"), F.sum("_n").alias("rows")).collect()  # at most sqrt(2 * total bytes) rows
+    lines = pack_into({r["_size"]: r["n"] for r in classes}, shards)
+    line_type = T.StructType([T.StructField("first", T.LongType()), T.StructField("n", T.LongType()), T.StructField("bin", T.IntegerType())])
+    schema = T.StructType([T.StructField("_size", T.LongType()), T.StructField("_lines", T.ArrayType(line_type))])
+    ranked = with_slots(groups, "_size", [group], F.xxhash64(group), "_rank").join(spark.createDataFrame(list(lines.items()), schema), "_size")
+    line = F.filter("_lines", lambda x: (F.col("_rank") >= x["first"]) & (F.col("_rank") < x["first"] + x["n"]))[0]
+    placed = durable(ranked.select(group, "_n", line["bin"].alias(out)))
+    heavy = F.col("_n") > HEAVY * sum(r["rows"] for r in classes)
+    large = F.broadcast(placed.where(heavy).select(group, out))
+    one = rows.join(large, group)
+    rest = rows.join(large.select(group), group, "left_anti").join(placed.where(~heavy).select(group, out), group)
+    return one.unionByName(rest)
 
 
 def with_slots(rows: DataFrame, shard: str, order: list[str], lane: Column, out: str = "slot") -> DataFrame:
