@@ -6,13 +6,19 @@ what else the same text holds of the whole name or its last word. Each gets a su
 - letters and digits go through a keyed permutation (alternating Feistel rounds over the mixed radix of the entity's own letters
   and digits), so different entities get different surrogates; case, punctuation and length stay. The domain of an address
   is permuted apart from the local part and keeps its last label; a phone keeps its country code; a card keeps its
-  first digit, and its Luhn validity; octets stay octets. Formats of one number share one surrogate number.
+  first digit, and its Luhn validity; a valid IBAN keeps its country and gets the check digits of its new number; octets stay octets.
 - names keep their title; a given name of the same gender and script comes from a list, surnames are built of syllables of the same
-  script. Names can collide, so the distinct entities of all documents are checked: while two of them share a surrogate,
-  or a name's surrogate is some document's own name, the level rises, which lengthens surnames and given names.
+  script. A name's gender is decided once, from all titles it has in all documents: that of its titles, or neither where they differ or
+  say nothing. So Mr. and Dr. John Smith are one entity with one surrogate. Where a text's own titles say something else, the
+  decision is joined to the text by the text's digest.
+- the distinct entities of all documents are checked both ways. While two of them share a surrogate, or a name's surrogate is some
+  document's own name, the level rises, which lengthens surnames and given names and changes the permutations; a level has 32 times the
+  surnames of the one before. An entity with two surrogates, or names that collide at the last level (their keyed hashes are equal;
+  another key helps), raise ValueError.
 
 Edge cases: a null text stays null; an empty one and those without entities stay as they are, byte for byte; repeated rows get the
-same text; other columns pass through; column names that clash with the ones made here are kept under their own name.
+same text; a text of any length is read whole; an empty table gives an empty result; order and ties don't matter, a surrogate depends on
+its entity alone; other columns pass through; column names that clash with the ones made here are kept under their own name.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.storage import durable, table, unused
+from quern.llm.storage import durable, release, table, unused
 
 KEY = "quern"
 #: Given names by script and gender; surnames' syllables by script.
@@ -120,10 +126,18 @@ def _chosen(kind: str, script: str, gender: str, word: str, key: str, times: int
     return _let(listed, "ls", f"array_join(transform(sequence(1, {times}), k -> {pick}), {_text(between)})")
 
 
-def _name(m: str, key: str, level: int) -> str:
-    title = f"regexp_extract({m}, {_text(f'^(?:{_TITLE})[.]? ')}, 0)"
-    of = lambda titles: f"rtrim('. ', ti) in ({', '.join(map(_text, titles))})"
-    gender = f"case when {of(_MALE)} then 'm' when {of(_FEMALE)} then 'f' else 'n' end"
+def _title(m: str) -> str:
+    return f"regexp_extract({m}, {_text(f'^(?:{_TITLE})[.]? ')}, 0)"
+
+
+def title_gender(m: str) -> str:
+    """SQL: m, f or n by the title of a name."""
+    of = lambda titles: f"rtrim('. ', {_title(m)}) in ({', '.join(map(_text, titles))})"
+    return f"case when {of(_MALE)} then 'm' when {of(_FEMALE)} then 'f' else 'n' end"
+
+
+def _name(m: str, key: str, level: int, gender: str | None) -> str:
+    title, gender = _title(m), gender or title_gender(m)
     script = "case when w rlike '^[\\u0400-\\u04FF]' then 'cyrillic' when w rlike '^[\\u0370-\\u03FF\\u1F00-\\u1FFF]' then 'greek' else 'latin' end"
     last, first = f"initcap({_chosen('surname', 'sc', 'ge', 'w', key, 3 + level, '')})", _chosen("given", "sc", "ge", "w", key, 1 + level, "-")
     made = _let(script, "sc", _let(f"if(j = size(ws) - 1, {last}, {first})", "mw", "if(length(w) > 1 and w = upper(w), upper(mw), mw)"))
@@ -140,11 +154,25 @@ def kind_of(m: str) -> str:
     )
 
 
-def surrogate(m: str, key: str = KEY, level: int = 0) -> str:
-    """SQL: the surrogate of the match that the SQL expression m stands for."""
+def _mod97(number: str) -> str:
+    """SQL: an account number (letters count 10 to 35) modulo 97."""
+    step = "case when c rlike '[0-9]' then (s * 10 + cast(c as bigint)) % 97 else (s * 100 + ascii(c) - 55) % 97 end"
+    return f"aggregate(regexp_extract_all({number}, '[0-9A-Z]', 0), 0L, (s, c) -> {step})"
+
+
+def _iban(m: str, moved: str) -> str:
+    """SQL: moved, but with check digits that make it valid if m is valid."""
+    valid = f"{_mod97(f'concat(substr({m}, 5), left({m}, 4))')} = 1"
+    return f"if({valid}, concat(left({m}, 2), lpad(cast(98 - {_mod97(f'concat(substr({moved}, 5), left({m}, 2), {_text("00")})')} as string), 2, '0'), substr({moved}, 5)), {moved})"
+
+
+def surrogate(m: str, key: str = KEY, level: int = 0, gender: str | None = None) -> str:
+    """SQL: the surrogate of the match that the SQL expression m stands for; gender: SQL for a name's, its title's by default."""
+    key = f"{key}/{level}" if level else key
     moved = f"array_join(transform({_parts(m)}, p -> concat(p.b, {_moved('p.m', 'p.tag', key)}, p.a)), '')"
     checked = f"concat(o, cast(pmod({_luhn('o')} + cast(right({m}, 1) as bigint) - {_luhn(f'left({m}, length({m}) - 1)')}, 10L) as string))"
-    return _let(kind_of(m), "kd", f"if(kd = 'name', {_name(m, key, level)}, {_let(moved, 'o', f'if(kd = {_text("card")}, {checked}, o)')})")
+    valid = f"case kd when 'card' then {checked} when 'iban' then {_iban(m, 'o')} else o end"
+    return _let(kind_of(m), "kd", f"if(kd = 'name', {_name(m, key, level, gender)}, {_let(moved, 'o', valid)})")
 
 
 def canonical(m: str) -> str:
@@ -152,28 +180,59 @@ def canonical(m: str) -> str:
     return f"case {kind_of(m)} when 'email' then lower({m}) when 'name' then lower(regexp_replace({m}, {_text(f'^(?:{_TITLE})[.]? ')}, '')) when 'ip' then {m} else regexp_replace({m}, '[^0-9A-Za-z]', '') end"
 
 
-def entities(docs: DataFrame, column: str = "text") -> DataFrame:
-    """The distinct entities of all texts: kind, entity."""
-    found = docs.select(F.explode(F.regexp_extract_all(F.col(column), F.lit(PATTERN), F.lit(0))).alias("entity")).distinct()
-    return found.select(F.expr(kind_of("entity")).alias("kind"), "entity")
+def mentions(docs: DataFrame, column: str = "text") -> DataFrame:
+    """The distinct entities of each distinct text: digest of the text, entity, kind, own (the same for all its spellings), gender by title."""
+    found = docs.select(F.md5(column).alias("digest"), F.explode(F.regexp_extract_all(F.col(column), F.lit(PATTERN), F.lit(0))).alias("entity")).distinct()
+    named = found.withColumn("kind", F.expr(kind_of("entity"))).withColumn("own", F.expr(canonical("entity")))
+    return named.withColumn("gender", F.when(F.col("kind") == "name", F.expr(title_gender("entity"))))
+
 
+def genders(found: DataFrame) -> DataFrame:
+    """own, decided: the gender of each name, from all its titles."""
+    said = lambda g: F.max(F.col("gender") == g)
+    decided = F.when(said("m") & ~said("f"), "m").when(said("f") & ~said("m"), "f").otherwise("n")
+    return found.where("kind = 'name'").groupBy("own").agg(decided.alias("decided"))
 
-def collisions(found: DataFrame, key: str, level: int) -> DataFrame:
+
+def surrogates(found: DataFrame, key: str, level: int) -> DataFrame:
+    """kind, own and made (the same for all spellings) of the distinct entities among mentions."""
+    each = found.select("kind", "entity", "own").distinct().join(genders(found), "own", "left")
+    return each.select("kind", "own", F.expr(surrogate("entity", key, level, "decided")).alias("_m")).select("kind", "own", F.expr(canonical("_m")).alias("made"))
+
+
+def collisions(made: DataFrame) -> DataFrame:
     """Surrogates that stand for several entities, and names' surrogates that are names themselves."""
-    made = found.select("kind", F.expr(canonical("entity")).alias("_own"), F.expr(surrogate("entity", key, level)).alias("_made"))
-    made = made.select("kind", "_own", F.expr(canonical("_made")).alias("_made"))
-    twice = made.groupBy("kind", "_made").agg(F.min("_own").alias("_a"), F.max("_own").alias("_b")).where("_a != _b").select("kind", "_made")
+    twice = made.groupBy("kind", "made").agg(F.min("own").alias("_a"), F.max("own").alias("_b")).where("_a != _b").select("kind", "made")
     names = made.where("kind = 'name'")
-    return twice.union(names.select("kind", "_made").join(names.select(F.col("_own").alias("_made")), "_made", "left_semi").select("kind", "_made"))
+    return twice.union(names.select("kind", "made").join(names.select(F.col("own").alias("made")), "made", "left_semi").select("kind", "made"))
+
+
+def torn(made: DataFrame) -> DataFrame:
+    """Entities that have several surrogates."""
+    return made.groupBy("kind", "own").agg(F.min("made").alias("_a"), F.max("made").alias("_b")).where("_a != _b").select("kind", "own")
 
 
-def level_for(docs: DataFrame, key: str = KEY, most: int = 6, column: str = "text") -> int:
-    """The lowest level without collisions among all entities of the documents."""
-    found = durable(entities(docs, column))
+def level_for(found: DataFrame, key: str = KEY, most: int = 9) -> int:
+    """The lowest level without collisions among all mentions (of mentions())."""
     for level in range(most + 1):
-        if collisions(found, key, level).isEmpty():
+        parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        made = durable(surrogates(found.repartition(parts, "own"), key, level))  # spread by entities: the work isn't in the bytes
+        if not (lost := torn(made)).isEmpty():
+            raise ValueError(f"{lost.first()} has several surrogates")
+        clear = collisions(made).isEmpty()
+        release(made)
+        if clear:
             return level
-    raise RuntimeError(f"names still collide at level {most}")
+    raise ValueError(f"surrogates still collide at level {most}; take another key")
+
+
+def decided_in(docs: DataFrame, found: DataFrame, column: str = "text", out: str = "_genders") -> DataFrame:
+    """docs with a map of own to the decided gender, for the names of a text whose titles there don't say the same."""
+    names = found.where("kind = 'name'").select("digest", "own", "gender")
+    other = names.join(genders(found), "own").where("gender != decided").select("digest", "own", "decided").distinct()
+    maps = other.groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("own", "decided"))).alias(out))
+    own = unused("_digest", docs)
+    return docs.withColumn(own, F.md5(column)).join(maps.withColumnRenamed("digest", own), own, "left").drop(own)
 
 
 def _mentions(found: str, made: str) -> str:
@@ -192,20 +251,28 @@ def _reworded(p: str) -> str:
     return _let(pattern, "pt", f"array_join(flatten(zip_with(split({p}, pt, -1), concat({found}, array('')), (a, b) -> array(a, b))), '')")
 
 
-def replaced(docs: DataFrame, key: str = KEY, level: int = 0, column: str = "text", out: str = "_matches") -> DataFrame:
-    """docs with surrogates in their texts, and the matches in the column out. No shuffle."""
+def replaced(docs: DataFrame, key: str = KEY, level: int = 0, column: str = "text", out: str = "_matches", decided: str | None = None) -> DataFrame:
+    """docs with surrogates in their texts, and the matches in the column out; decided: a column of decided_in(). No shuffle."""
     matches = F.regexp_extract_all(F.col(column), F.lit(PATTERN), F.lit(0))
     parts = f"split({column}, {_text(PATTERN)}, -1)"
     between = _let(_mentions(out, "su"), "ms", f"if(size(ms) = 0, {parts}, transform({parts}, p -> {_reworded('p')}))")
-    woven = _let(f"transform({out}, m -> {surrogate('m', key, level)})", "su", f"array_join(flatten(zip_with({between}, concat(su, array('')), (p, s) -> array(p, s))), '')")
+    gender = f"coalesce(element_at({decided}, {canonical('m')}), {title_gender('m')})" if decided else None
+    woven = _let(f"transform({out}, m -> {surrogate('m', key, level, gender)})", "su", f"array_join(flatten(zip_with({between}, concat(su, array('')), (p, s) -> array(p, s))), '')")
     return docs.withColumn(out, matches).withColumn(column, F.when(F.size(out) > 0, F.expr(woven)).otherwise(F.col(column)))
 
 
+def anonymised(docs: DataFrame, key: str = KEY, column: str = "text", out: str = "_matches") -> DataFrame:
+    """docs with surrogates in their texts, checked over all of them, and the matches in the column out."""
+    found = durable(mentions(docs, column))
+    level = level_for(found, key)
+    own = unused("_genders", docs)
+    return replaced(decided_in(docs, found, column, own), key, level, column, out, own).drop(own)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op10: every whole text with surrogates, and how many entities of each kind it had."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    made = replaced(docs, KEY, level_for(docs))
-    kinds = made.withColumn("_kinds", F.expr(f"transform(_matches, m -> {kind_of('m')})"))
+    kinds = anonymised(docs).withColumn("_kinds", F.expr(f"transform(_matches, m -> {kind_of('m')})"))
     counts = [F.expr(f"coalesce(size(filter(_kinds, k -> k = '{k}')), 0)").alias(f"n_{k}") for k in KINDS]
     return kinds.select("doc_id", "text", F.coalesce(F.size("_kinds"), F.lit(0)).alias("n_entities"), *counts)
 
@@ -213,5 +280,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates in their texts; n_chars follows the text."""
     own = unused("_matches", docs)
-    made = replaced(docs, KEY, level_for(docs), out=own).drop(own)
+    made = anonymised(docs, out=own).drop(own)
     return made.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))).select(*docs.columns)
