@@ -307,3 +307,66 @@ def test_op10_addresses_end_before_what_follows_and_names_go_without_title(spark
     assert one == f"Mr. {given} {surname} wrote. Later {surname} said ({given} {surname}!) that Smithson and Johnny left; {surname}'s hat."
     assert "Müller" not in two and two.startswith("Before, ") and two.endswith(".")
     assert got[len(rows) - 1] == rows[-1][1]
+
+
+def iban(country, bban):
+    number = int("".join(str(int(c, 36)) for c in bban + country + "00"))
+    return f"{country}{98 - number % 97:02d}{bban}"
+
+
+def valid_iban(text):
+    text = text.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
+
+
+def test_op10_entities_of_each_kind_by_an_independent_list(spark):
+    """What stands between fixed words is replaced whole, and nothing else; the list isn't made from the engine's pattern."""
+    from quern.llm import pii
+
+    good = iban("DE", "370400440532013000")
+    entities = [
+        "anna.lee@example.org", "x+y_z@sub.mail.example.co.uk", good, f"{good[:4]} {good[4:8]} {good[8:12]} {good[12:16]} {good[16:20]} {good[20:]}", iban("GB", "WEST12345698765432"), "123-45-6789",
+        "4111 1111 1111 1111", "5500-0000-0000-0004", "378282246310005", "+49 30 1234 5678", "(301) 555-0346", "301-555-0346", "10.0.255.1", "Mr. John Smith", "Frau Erika Mustermann", "Dr. Zoë Quinn", "Г-н Иван Петров", "Κύριος Νίκος Παππάς",
+    ]
+    plain = ["version 1.2.3", "in 2024 there were 1234567 rows", "12:34:56", "a@b", "Mr. is a title", "10.0.0.256", "drjohn smith", "ISBN 978-3-16-148410-0x"]
+    rows = [(k, f"begin {e} end") for k, e in enumerate([*entities, *plain])]
+    made = {r["doc_id"]: r["text"] for r in pii.anonymised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    out = [made[k].removeprefix("begin ").removesuffix(" end") for k in range(len(rows))]
+    for before, after in zip(entities, out, strict=False):
+        assert after != before and not any(len(w) > 3 and w in after for w in re.findall(r"\w+", before) if w not in ("Frau", "Κύριος") and not w.isdigit()), (before, after)
+    assert out[len(entities) :] == plain
+    assert all(valid_iban(out[k]) for k in (2, 3, 4)) and all(luhn(out[k]) == 0 for k in (6, 7, 8))
+    assert out[2] == out[3].replace(" ", "")
+    assert len(set(out)) == len(out)
+
+
+def test_op10_one_person_is_one_under_all_titles(spark):
+    from quern.llm import pii
+
+    texts = ["Mr. John Smith came.", "Dr. John Smith spoke, said John Smith.", "Prof. Jane Doe and Mrs. Jane Doe.", "Dr. Kim Roe", "Ms. Sam Poe", "Mr. Sam Poe", "JOHN: Mr. JOHN SMITH"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r["text"] for r in pii.anonymised(docs).orderBy("doc_id").collect()]
+    john = re.fullmatch(r"Mr\. (\w+ \w+) came\.", got[0])[1]
+    assert got[1] == f"Dr. {john} spoke, said {john}." and got[6] == f"JOHN: Mr. {john.upper()}"
+    jane = re.fullmatch(r"Prof\. (\w+ \w+) and Mrs\. (\w+ \w+)\.", got[2])
+    assert jane[1] == jane[2] and jane[1].split()[0] in pii._GIVEN["latin", "f"].split() and john.split()[0] in pii._GIVEN["latin", "m"].split()
+    assert got[4].removeprefix("Ms. ") == got[5].removeprefix("Mr. ") and got[4].split()[1] in pii._GIVEN["latin", "n"].split()
+    found = pii.mentions(docs).persist()
+    made = pii.surrogates(found, pii.KEY, 0)
+    assert pii.torn(made).isEmpty() and pii.collisions(made).isEmpty()
+    assert not pii.torn(made.union(spark.createDataFrame([("name", "john smith", "other")], "kind string, own string, made string"))).isEmpty()
+
+
+def test_op10_levels_rise_until_nothing_collides(spark, monkeypatch):
+    from quern.llm import pii
+
+    names = [f"Dr. {a}{b}" for a in ("Ada", "Ben", "Cid", "Dan", "Eve") for b in ("", " Moe", " Noe", " Poe", " Roe", " Zoe")]
+    docs = spark.createDataFrame([(k, f"{n} wrote") for k, n in enumerate(names)], "doc_id long, text string")
+    monkeypatch.setattr(pii, "_SYLLABLES", {**pii._SYLLABLES, "latin": "ba"})
+    monkeypatch.setitem(pii._GIVEN, ("latin", "n"), "Kim Lou")
+    with pytest.raises(ValueError, match="collide"):
+        pii.level_for(pii.mentions(docs).persist(), most=1)
+    monkeypatch.setattr(pii, "_SYLLABLES", {**pii._SYLLABLES, "latin": "ba be"})
+    found = pii.mentions(docs.where("doc_id % 6 = 0")).persist()
+    level = pii.level_for(found)
+    assert level > 0 and pii.collisions(pii.surrogates(found, pii.KEY, level)).isEmpty()
