@@ -72,7 +72,10 @@ def NormalizeWhitespace():
     return _replace(r"[\s　]+", " ")
 
 
-CITATION = r"\[\d+?\]|\[要.+?\]|\{\{[^{}]*\}\}|\[[^\[\]]*[?？]\]"
+#: What counts as a citation mark, as a sentence with an address and as one with a link.
+CITATION = r"\[\d+?\]|\[要.+?\]|\{\{+[^{}]+?\}\}+|\[(要出典|リンク切れ|.+?\?)\]"
+EMAIL = r"[\w\d_-]+@[\w\d_-]+\.[\w\d._-]+"
+URL = r"(https?|sftp?)://[\w/:%#\$&\?\(\)~\.=\+\-]+"
 
 
 @_step
@@ -91,10 +94,6 @@ def ConcatShortSentence(concat_threshold: int = 2):
     return lambda df: df.withColumn("elements", F.aggregate("elements", F.array().cast("array<string>"), step))
 
 
-EMAIL = r"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
-URL = r"https?://[\w/:%#$&?()~.=+-]+"
-
-
 @_step
 def RemoveEmail():
     return _keep(lambda x: ~x.rlike(EMAIL))

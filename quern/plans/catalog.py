@@ -12,8 +12,9 @@ from quern.functions import text as T
 from quern.operators import cleaning, filters, minhash, paragraphs, reports
 from quern.operators import simhash as sim
 from quern.operators.durable import durable
+from quern.operators.setjoin import similar_sets
 from quern.plans.pipeline import Pipeline
-from quern.sources import html
+from quern.sources import html, warc
 
 SEP = "\n"
 _QUERIES: dict = {}
@@ -165,21 +166,22 @@ def heavy_hitters_topk(spark, sf_dir):
     return paragraphs.heavy_hitters(_rows(spark, sf_dir), "text")
 
 
-@_query(f"""WITH {_P}, s AS (SELECT text, count(*) AS n FROM p WHERE doc_id % 2 = 0 GROUP BY text HAVING count(*) > 1), f AS (SELECT text, count(*) AS n FROM p GROUP BY text),
+@_query(f"""WITH {_P}, s AS (SELECT text, count(*) AS n FROM p GROUP BY text HAVING count(*) > 1), f AS (SELECT text, count(*) AS n FROM p GROUP BY text),
 t AS (SELECT text, n AS local FROM f ORDER BY n DESC, {_H.format(x="text")} LIMIT 100)
 SELECT doc_id, pos, greatest(coalesce(s.n, 1), coalesce(t.local, 1))::INT AS near_freq FROM p LEFT JOIN s USING (text) LEFT JOIN t USING (text)""")
 def stats_join_bias(spark, sf_dir):
     rows = _rows(spark, sf_dir)
-    known = paragraphs.frequencies(rows.where("doc_id % 2 = 0")).where("freq > 1").select(T.md5_long(F.col("text")).alias("hash"), F.col("freq").cast("int").alias("exact_freq"), F.col("freq").cast("int").alias("near_freq"))
+    known = paragraphs.frequencies(rows).where("freq > 1").select(T.md5_long(F.col("text")).alias("hash"), F.col("freq").cast("int").alias("exact_freq"), F.col("freq").cast("int").alias("near_freq"))
     return paragraphs.join_statistics(rows, known, T.md5_long(F.col("text"))).select("doc_id", "pos", "near_freq")
 
 
-_R = f"""r AS (SELECT {_H.format(x="text")} AS hash, min({_H.format(x="text")}) OVER (PARTITION BY substr(text, 1, 8)) AS repr_hash, freq FROM f)"""
+#: Groups of paragraphs for what works on groups of near copies: those with the same ASCII letters in the same order.
+_LETTERS = "regexp_replace(lower(text), '[^a-z]+', '', 'g')"
+_R = f"""r AS (SELECT {_H.format(x="text")} AS hash, min({_H.format(x="text")}) OVER (PARTITION BY {_LETTERS}) AS repr_hash, freq FROM f)"""
 
 
 def _reprs(rows: DataFrame) -> DataFrame:
-    """Paragraphs with the same beginning as groups, for what works on groups of near copies."""
-    hashed = paragraphs.frequencies(rows).withColumn("hash", T.md5_long(F.col("text"))).withColumn("_k", F.substring("text", 1, 8))
+    hashed = paragraphs.frequencies(rows).withColumn("hash", T.md5_long(F.col("text"))).withColumn("_k", F.regexp_replace(F.lower("text"), "[^a-z]+", ""))
     least = hashed.groupBy("_k").agg(F.min("hash").alias("repr_hash"))
     return hashed.join(least, "_k").select("hash", "repr_hash", "freq")
 
@@ -192,7 +194,7 @@ def stats_exact_near(spark, sf_dir):
 
 def _half(k: int, of: int) -> str:
     return f"""p{k} AS (SELECT * FROM p WHERE doc_id % 3 = {k}), f{k} AS (SELECT text, count(*) AS freq FROM p{k} GROUP BY text),
-r{k} AS (SELECT {_H.format(x="text")} AS hash, min({_H.format(x="text")}) OVER (PARTITION BY substr(text, 1, 8)) AS repr_hash, freq FROM f{k}),
+r{k} AS (SELECT {_H.format(x="text")} AS hash, min({_H.format(x="text")}) OVER (PARTITION BY {_LETTERS}) AS repr_hash, freq FROM f{k}),
 s{k} AS (SELECT hash, repr_hash, freq::INT AS exact_freq, (sum(freq) OVER (PARTITION BY repr_hash))::INT AS near_freq FROM r{k})"""
 
 
@@ -215,28 +217,19 @@ def merge_dedup_stats(spark, sf_dir):
     return paragraphs.merge_statistics(durable(parts[0].unionByName(parts[1]).unionByName(parts[2])), 5)
 
 
-_SHORT = f"""s AS (SELECT DISTINCT text, substr(text, 1, 6) AS k FROM p WHERE length(text) BETWEEN 8 AND 30)"""
-
-
-@_query(f"""WITH {_P}, {_SHORT} SELECT a.text AS a, b.text AS b, levenshtein(a.text, b.text)::INT AS distance FROM s a JOIN s b ON a.k = b.k AND a.text < b.text
-WHERE levenshtein(a.text, b.text) < 0.3 * floor((length(a.text) + length(b.text)) / 2)""")
+@_query()
 def short_text_pairs_levenshtein(spark, sf_dir):
-    s = _rows(spark, sf_dir).where(F.length("text").between(8, 30)).select("text", F.substring("text", 1, 6).alias("k")).distinct()
-    both = s.select("k", F.col("text").alias("a")).join(s.select("k", F.col("text").alias("b")), "k").where("a < b")
-    return both.select("a", "b", F.levenshtein("a", "b").alias("distance")).where(F.col("distance") < 0.3 * F.floor((F.length("a") + F.length("b")) / 2))
-
+    """All pairs of short paragraphs that pass the text gate: 1- and 2-grams alike to 0.6, and few edits."""
+    s = paragraphs.frequencies(_rows(spark, sf_dir)).where(F.length("text").between(1, sim.LONG)).select("text", sim.grams(F.col("text"), 1, 2).alias("g"))
+    both = similar_sets(s, "text", "g", 60).withColumn("distance", F.levenshtein("a", "b"))
+    return both.where(sim.alike(F.col("a"), F.col("b"))).select("a", "b", "distance")
 
-_NG = "list_distinct(list_transform(range(1, length({t}) - 1), lambda i: substr({t}, i::BIGINT, 3)))"
 
-
-@_query(f"""WITH {_P}, s AS (SELECT DISTINCT text, substr(text, 1, 12) AS k, {_NG.format(t="text")} AS g FROM p WHERE length(text) BETWEEN 31 AND 200)
-SELECT a.text AS a, b.text AS b, round(len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g)))::DOUBLE, 9) AS jaccard FROM s a JOIN s b ON a.k = b.k AND a.text < b.text
-WHERE len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g)))::DOUBLE >= 0.7""")
+@_query()
 def ngram_jaccard_pairs(spark, sf_dir):
-    s = _rows(spark, sf_dir).where(F.length("text").between(31, 200)).select("text", F.substring("text", 1, 12).alias("k")).distinct().withColumn("g", F.array_distinct(T.char_ngrams(F.col("text"), 3)))
-    a, b = (s.select("k", F.col("text").alias(n), F.col("g").alias(f"g_{n}")) for n in "ab")
-    both = a.join(b, "k").where("a < b").withColumn("jaccard", T.jaccard(F.col("g_a"), F.col("g_b")))
-    return both.where("jaccard >= 0.7").select("a", "b", F.round("jaccard", 9).alias("jaccard"))
+    """All pairs of long paragraphs that pass the text gate: 3- and 4-grams alike to 0.7."""
+    s = paragraphs.frequencies(_rows(spark, sf_dir)).where(F.length("text") > sim.LONG).select("text", sim.grams(F.col("text"), 3, 4).alias("g"))
+    return similar_sets(s, "text", "g", 70).select("a", "b", F.round("jaccard", 9).alias("jaccard"))
 
 
 _B, _RR = 6, 3
@@ -332,12 +325,12 @@ def concat_short(spark, sf_dir):
     return _elements(spark, sf_dir, "SplitIntoSentence", {"class": "ConcatShortSentence", "concatThreshold": 5})
 
 
-@_query(_renumbered(f"NOT regexp_matches(text, '{cleaning.EMAIL}')"))
+@_query(_renumbered("NOT regexp_matches(text, '[0-9A-Za-z_-]@[0-9A-Za-z_-]+[.][0-9A-Za-z_.-]')"))
 def remove_email(spark, sf_dir):
     return _elements(spark, sf_dir, "SplitIntoSentence", "RemoveEmail")
 
 
-@_query(_renumbered(f"NOT regexp_matches(text, '{cleaning.URL}')"))
+@_query(_renumbered("NOT regexp_matches(text, '(https|http|sftp|sft)://[0-9A-Za-z_/:%#$&?()~.=+-]')"))
 def remove_url(spark, sf_dir):
     return _elements(spark, sf_dir, "SplitIntoSentence", "RemoveURL")
 
@@ -368,9 +361,13 @@ def normalize_character(spark, sf_dir):
     return cleaning.joined(cleaning.pipeline(["NormalizeCharacter"])(cleaning.elements(_docs(spark, sf_dir))))
 
 
-@_query(r"SELECT doc_id, regexp_replace(text || '[12] {{x}} [要出典] [y?]', '\[\d+?\]|\[要.+?\]|\{\{[^{}]*\}\}|\[[^\[\]]*[?？]\]', '', 'g') AS text FROM documents")
+#: Citation marks of all kinds after each text.
+_MARKS = " [12] {{x}} [要出典] a [y?] b [リンク切れ] {{{z}}} {{}} [no] [要確認]"
+
+
+@_query(rf"""SELECT doc_id, regexp_replace(text || '{_MARKS}', '\[[0-9]+\]|\[要[^\n]+?\]|\{{\{{+[^{{}}]+\}}\}}+|\[(?:要出典|リンク切れ|[^\n]+?[?])\]', '', 'g') AS text FROM documents""")
 def citation_strip(spark, sf_dir):
-    docs = _docs(spark, sf_dir).withColumn("text", F.concat("text", F.lit("[12] {{x}} [要出典] [y?]")))
+    docs = _docs(spark, sf_dir).withColumn("text", F.concat("text", F.lit(_MARKS)))
     return cleaning.joined(cleaning.pipeline(["RemoveWikipediaCitation"])(cleaning.elements(docs)))
 
 
@@ -421,12 +418,14 @@ def sentence_iterator(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", F.explode(T.sentences(F.col("text"), "\n.!?")).alias("sentence"))
 
 
-@_query("""SELECT event_id, CASE WHEN least(ts, ts - INTERVAL 3 DAY) < TIMESTAMP '1999-01-01' THEN '' ELSE strftime(least(ts, ts - INTERVAL 3 DAY), '%Y-%m-%dT%H:%M:%S') END AS date FROM events""")
+#: A record's date, what its HTTP head calls Date (three days before), and Last-Modified (event_id * 7 days before, often before 1999).
+@_query("""WITH d AS (SELECT event_id, unnest([ts, ts - INTERVAL 3 DAY, ts - to_days((event_id * 7)::INT)]) AS moment FROM events)
+SELECT event_id, coalesce(strftime(min(moment) FILTER (moment >= TIMESTAMP '1999-01-01'), '%Y-%m-%dT%H:%M:%S'), '') AS date FROM d GROUP BY event_id""")
 def earliest_date(spark, sf_dir):
-    e = spark.read.parquet(f"{sf_dir}/events.parquet")
-    least = F.least("ts", F.col("ts") - F.expr("INTERVAL 3 DAYS"))
-    told = F.date_format(least, "yyyy-MM-dd'T'HH:mm:ss")
-    return e.select("event_id", F.when(told < "1999-01-01", F.lit("")).otherwise(told).alias("date"))
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts")
+    told = lambda at: F.date_format(at, "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
+    heads = e.select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("warc"), told(F.col("ts") - F.expr("INTERVAL 3 DAYS")).alias("date"), told(F.expr("timestampadd(DAY, -event_id * 7, ts)")).alias("modified"))
+    return heads.select("event_id", warc.earliest_date("warc", "date", "modified").alias("date"))
 
 
 @_query()

@@ -119,14 +119,19 @@ class _Reader(HTMLParser):
 
 
 def paragraphs(html: str, keep_links: bool = False) -> list[tuple[str, str]]:
-    """(path, text) of each paragraph; what came before a document got too deep stays."""
+    """(path, text) of each paragraph; none of a document that gets too deep."""
+    return read(html, keep_links) or []
+
+
+def read(html: str, keep_links: bool = False) -> list[tuple[str, str]] | None:
+    """(path, text) of each paragraph; None for a document that gets too deep, which has failed as a whole."""
     reader = _Reader(keep_links)
     try:
         reader.feed(html)
         reader.close()
         reader.flush("")
     except TooDeep:
-        pass
+        return None
     return reader.out
 
 

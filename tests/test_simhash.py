@@ -83,3 +83,20 @@ def test_equal_bits_grow_with_similarity():
     far = "".join(r.choice(list("abcdefgh "), 300))
     bits = lambda a, b: sum(128 // 2 - ((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(simhash_words(a), simhash_words(b), strict=True))
     assert bits(base, base) == 128 > bits(base, base[:-10] + "something.") > bits(base, far)
+
+
+def test_pair_queries_find_all_pairs_that_pass_the_text_gate(spark, tmp_path):
+    from quern.plans import catalog
+
+    every = [t.strip() for t in texts(5) if t.strip()]
+    spark.createDataFrame([(k, "\n".join(every[k : k + 9])) for k in range(0, len(every), 9)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    cleaned = {" ".join(t.split()) for t in every}
+    wanted = {"short_text_pairs_levenshtein": set(), "ngram_jaccard_pairs": set()}
+    for a in cleaned:
+        for b in cleaned:
+            if a < b and len(a) <= 30 and len(b) <= 30 and jaccard(grams(a, 1, 2), grams(b, 1, 2)) >= 0.6 and edit_distance(list(a), list(b)) < 0.3 * ((len(a) + len(b)) // 2):
+                wanted["short_text_pairs_levenshtein"].add((a, b))
+            if a < b and len(a) > 30 and len(b) > 30 and jaccard(grams(a, 3, 4), grams(b, 3, 4)) >= 0.7:
+                wanted["ngram_jaccard_pairs"].add((a, b))
+    for name, pairs in wanted.items():
+        assert {(r["a"], r["b"]) for r in catalog.queries()[name](spark, str(tmp_path)).collect()} == pairs and pairs
