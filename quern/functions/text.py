@@ -169,3 +169,13 @@ def path_segments(path: Column) -> Column:
 
 def contains_tags(path: Column, tags: list[str]) -> Column:
     return F.exists(path_segments(path), lambda s: s["tag"].isin(tags))
+
+
+def first_tag(path: Column, tags: list[str]) -> Column:
+    """The innermost segment of a path whose tag is one of these; null without one."""
+    return F.get(F.reverse(F.filter(path_segments(path), lambda s: s["tag"].isin(tags))), F.lit(0))
+
+
+def one_line(text: Column) -> Column:
+    """Line breaks as a backslash and n."""
+    return F.replace(text, F.lit("\n"), F.lit("\\n"))

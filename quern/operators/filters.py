@@ -167,17 +167,30 @@ class LargeFreqParagraphs(Filter):
     def hits(self) -> Column:
         return F.transform("paragraphs", lambda p: p["near_freq"] >= self.freq)
 
-    def apply(self, docs: DataFrame) -> DataFrame:
-        n, hit = self.count, F.col("_hit")
+    def removed(self) -> Column:
+        """For each paragraph whether it goes."""
+        n = self.count
         whole = lambda a: F.forall(a, lambda x: x)
-        before = lambda i: F.slice(hit, F.greatest(i - n + 2, F.lit(1)), F.least(i + 1, F.lit(n)))
-        trigger = F.transform("paragraphs", lambda p, i: p["removed_by"].isNull() & (whole(before(i)) | whole(F.slice(hit, i + 1, n))))
-        soon = lambda i: F.exists(F.slice(F.col("_trigger"), i + 2, n), lambda x: x)
-        at = lambda a, i: F.element_at(a, i + 1)
-        bad = lambda p, i: p["removed_by"].isNull() & (at(F.col("_trigger"), i) | (at(hit, i) & soon(i)))
-        marked = F.transform("paragraphs", lambda p, i: F.when(bad(p, i), p.withField("removed_by", F.lit(self.marker()))).otherwise(p))
-        made = docs.withColumn("_hit", self.hits()).withColumn("_trigger", trigger)
-        return made.withColumn("paragraphs", F.when(F.col("removed_by").isNull(), marked).otherwise(F.col("paragraphs"))).drop("_hit", "_trigger")
+        let = lambda value, body: F.element_at(F.transform(F.array(value), body), 1)
+        alive = lambda p: p["removed_by"].isNull()
+
+        def trigger(hit: Column) -> Column:
+            before = lambda i: F.slice(hit, F.greatest(i - n + 2, F.lit(1)), F.least(i + 1, F.lit(n)))
+            return F.transform("paragraphs", lambda p, i: alive(p) & (whole(before(i)) | whole(F.slice(hit, i + 1, n))))
+
+        def bad(hit: Column, triggers: Column) -> Column:
+            soon = lambda i: F.exists(F.slice(triggers, i + 2, n), lambda x: x)
+            return F.transform("paragraphs", lambda p, i: alive(p) & (F.element_at(triggers, i + 1) | (F.element_at(hit, i + 1) & soon(i))))
+
+        return let(self.hits(), lambda hit: let(trigger(hit), lambda triggers: bad(hit, triggers)))
+
+    def metric(self) -> Column:
+        """How many paragraphs go."""
+        return F.size(F.filter(self.removed(), lambda x: x))
+
+    def apply(self, docs: DataFrame) -> DataFrame:
+        marked = F.zip_with("paragraphs", self.removed(), lambda p, gone: F.when(gone, p.withField("removed_by", F.lit(self.marker()))).otherwise(p))
+        return docs.withColumn("paragraphs", F.when(F.col("removed_by").isNull(), marked).otherwise(F.col("paragraphs")))
 
 
 class MarkdownizeHeading(ParagraphFilter):
