@@ -224,9 +224,10 @@ def unmet(regions: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
     """Pairs a, b between components that the forest may not have met, among them all that are alike enough.
 
     regions (rep, region) are rows of regions where not all met. Where such a region has several components, its rows' shingles are sorted
-    by how many of these rows have them, the rarest first. With |x| >= |y| and a similarity of t, one of the first |x| - t |x| + 1
-    of x is among the first |y| - 2 t / (1 + t) |y| + 1 of y. Shingles that all their rows' components agree on give no pairs, and of two
-    rows of one shingle at least one is not of its largest component.
+    by how many of these rows have them, the rarest first. Let w be the first shingle that x and y share, at ranks i and j: they share
+    |x| - i and |y| - j shingles at most, and must share t / (1 + t) (|x| + |y|) for a similarity of t. So pairs meet at shingles of
+    ranks that leave enough after them; an edited copy's own shingles come first and use up its ranks. Of two rows of one shingle at
+    least one is not of its largest component, so components don't meet themselves.
     """
     named = regions.join(labels, F.col("rep") == F.col("node"), "left").select("rep", "region", F.coalesce("component", "rep").alias("component"))
     mixed = named.groupBy("region").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a < _b").select("region")
@@ -235,18 +236,18 @@ def unmet(regions: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
     all_of = durable(rows.select("rep", "component", "variant", "set").mapInArrow(_shingles, "s long, rep long, component long, variant long, n int"))
     counts = all_of.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     listed = all_of.join(counts, "s").groupBy("rep", "component", "variant", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("l"))
-    at_least = lambda up, down: F.expr(f"n - cast((n * {up}L + {down}L - 1) div {down}L as int) + 1 - (n - size(l))")
-    probe, index = at_least(percent, 100), at_least(2 * percent, 100 + percent)
-    first = listed.where(probe > 0).select("rep", "component", "n", index.alias("_i"), F.posexplode(F.slice("l", F.lit(1), probe)).alias("_k", "_e"))
-    posts = durable(first.select(F.col("_e.s").alias("s"), "rep", "component", "n", (F.col("_k") < F.col("_i")).alias("i")))
+    alone = F.col("n") - F.size("l")  # shingles that no other of these rows has come first
+    probe = F.expr(f"n - cast((n * {percent}L + 99) div 100 as int) + 1") - alone
+    first = listed.where(probe > 0).select("rep", "component", "n", alone.alias("_a"), F.posexplode(F.slice("l", F.lit(1), probe)).alias("_k", "_e"))
+    posts = durable(first.select(F.col("_e.s").alias("s"), "rep", "component", "n", (F.col("n") - F.col("_a") - F.col("_k")).alias("left")))
     release(all_of)
-    shares = posts.groupBy("s", "component").agg(F.count(F.lit(1)).alias("c"), F.max("i").alias("i"))
-    lists = shares.groupBy("s").agg(F.max_by("component", F.struct("c", "component")).alias("big"), F.count(F.lit(1)).alias("k"), F.max("i").alias("i")).where("k > 1 and i").select("s", "big")
+    shares = posts.groupBy("s", "component").agg(F.count(F.lit(1)).alias("c"))
+    lists = shares.groupBy("s").agg(F.max_by("component", F.struct("c", "component")).alias("big"), F.count(F.lit(1)).alias("k")).where("k > 1").select("s", "big")
     live = posts.join(lists, "s")
-    x = live.where("component != big").select("s", *(F.col(c).alias(f"{c}_x") for c in ("rep", "component", "n", "i")))
-    y = live.select("s", "big", *(F.col(c).alias(f"{c}_y") for c in ("rep", "component", "n", "i")))
-    met = x.join(y, "s").where("component_x != component_y and (component_y = big or rep_x < rep_y)")
-    met = met.where(f"(n_x >= n_y and i_y and 100 * n_y >= {percent} * n_x) or (n_y >= n_x and i_x and 100 * n_x >= {percent} * n_y)")
+    x = live.where("component != big").select("s", *(F.col(c).alias(f"{c}_x") for c in ("rep", "component", "n", "left")))
+    y = live.select("s", "big", *(F.col(c).alias(f"{c}_y") for c in ("rep", "component", "n", "left")))
+    enough = f"{100 + percent}L * least(left_x, left_y) >= {percent}L * (n_x + n_y)"
+    met = x.join(y, (x["s"] == y["s"]) & F.expr(f"component_x != component_y and (component_y = big or rep_x < rep_y) and {enough}"))
     return met.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
 
 
@@ -316,3 +317,18 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = link(docs, 5).where("doc_id = component_id").select("doc_id").distinct()
     named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id is null"))
+
+
+#: The same rows: shingle sets as lists, pairs by the shingles they share, and the smallest doc_id that links reach.
+ORACLE = """WITH RECURSIVE t AS (SELECT DISTINCT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3]) WHEN len(w) > 0 THEN [w] ELSE [] END) AS s FROM t),
+c AS (SELECT doc_id, s, len(s) AS n, min(doc_id) OVER (PARTITION BY md5(list_sort(s)::VARCHAR)) AS rep FROM s),
+r AS (SELECT doc_id, n, unnest(s) AS g FROM c WHERE doc_id = rep),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y FROM r a JOIN r b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * b.n >= 80 * a.n AND 100 * a.n >= 80 * b.n
+ GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+e AS (SELECT x, y FROM p UNION SELECT y, x FROM p),
+reach AS (SELECT x AS node, x AS seen FROM e UNION SELECT e.y, reach.seen FROM reach JOIN e ON reach.node = e.x),
+k AS (SELECT node, min(seen) AS least FROM reach GROUP BY node)
+SELECT d.doc_id, c.n::BIGINT AS n_shingles, CASE WHEN c.n = 0 THEN d.doc_id ELSE coalesce(k.least, c.rep) END AS component_id,
+ d.doc_id = (CASE WHEN c.n = 0 THEN d.doc_id ELSE coalesce(k.least, c.rep) END) AS kept
+FROM documents d JOIN c ON c.doc_id = d.doc_id LEFT JOIN k ON k.node = c.rep"""
