@@ -167,8 +167,8 @@ def assign(rows: DataFrame, group: str, size: str, shards: int, out: str = "shar
     lines = pack_into({r["_size"]: r["n"] for r in classes}, shards)
     line_type = T.StructType([T.StructField("first", T.LongType()), T.StructField("n", T.LongType()), T.StructField("bin", T.IntegerType())])
     schema = T.StructType([T.StructField("_size", T.LongType()), T.StructField("_lines", T.ArrayType(line_type))])
-    ranked = with_slots(groups, "_size", [group], F.xxhash64(group), "_rank").join(spark.createDataFrame(list(lines.items()), schema), "_size")
-    line = F.filter("_lines", lambda x: (F.col("_rank") >= x["first"]) & (F.col("_rank") < x["first"] + x["n"]))[0]
+    ranked = with_slots(groups, "_size", [group], F.xxhash64(group), "_place").join(spark.createDataFrame(list(lines.items()), schema), "_size")
+    line = F.filter("_lines", lambda x: (F.col("_place") >= x["first"]) & (F.col("_place") < x["first"] + x["n"]))[0]
     placed = durable(ranked.select(group, "_n", line["bin"].alias(out)))
     heavy = F.col("_n") > HEAVY * sum(r["rows"] for r in classes)
     large = F.broadcast(placed.where(heavy).select(group, out))
