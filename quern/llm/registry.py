@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quern.llm import bytebpe, fingerprints, licenses, media, neardup, packing, pii, secrets, sharding, toxicity
+from quern.llm import bytebpe, fingerprints, licenses, media, neardup, packing, pii, secrets, sharding, toxicity, twins
 
 _QUERIES = {
     "op1_toxicity": toxicity.query,
@@ -17,10 +17,15 @@ _QUERIES = {
     "op9_near_duplicates": neardup.query,
 }
 
-_ORACLE: dict[str, str] = {}
+_ORACLE: dict[str, str] = {"op9_near_duplicates": neardup.ORACLE, **twins.ORACLE}
 
 
 def queries():
+    return _QUERIES | twins.QUERIES
+
+
+def operators():
+    """The ten queries alone."""
     return dict(_QUERIES)
 
 

@@ -33,7 +33,7 @@ def run(spark):
 
     def of(name, folder):
         if (name, folder) not in done:
-            query = next(q for n, q in registry.queries().items() if n.startswith(name + "_"))
+            query = next(q for n, q in registry.operators().items() if n.startswith(name + "_"))
             done[name, folder] = [r.asDict() for r in query(spark, folder).collect()]
         return done[name, folder]
 
@@ -49,18 +49,18 @@ def key(doc_id):
     return (doc_id is not None, doc_id or 0)
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.operators()))
 def test_empty_tables_give_empty_results(run, empty_dir, name):
     assert run(name.split("_")[0], empty_dir) == []
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.operators()))
 def test_nulls_in_every_column(run, null_dir, name):
     ids = Counter(r["doc_id"] for r in run(name.split("_")[0], null_dir))
     assert ids == Counter(d for d, _ in documents(null_dir))
 
 
-@pytest.mark.parametrize("name", sorted(n for n in registry.queries() if not n.startswith("op3_")))
+@pytest.mark.parametrize("name", sorted(n for n in registry.operators() if not n.startswith("op3_")))
 def test_one_row_for_each_document(run, folder, name):
     assert Counter(r["doc_id"] for r in run(name.split("_")[0], folder)) == Counter(d for d, _ in documents(folder))
 
@@ -252,7 +252,7 @@ def test_op9_large_groups_and_chains(spark, tmp_path):
     crowd = [(k, " ".join(base[:k % 90] + [f"w{k}"] + base[k % 90 + 1 :])) for k in range(300)]
     chain = [(1000 + k, " ".join(words(12, 300).split()[4 * k : 4 * k + 60])) for k in range(50)]
     docs = crowd + chain
-    query = registry.queries()["op9_near_duplicates"]
+    query = registry.operators()["op9_near_duplicates"]
     got = {r["doc_id"]: r["component_id"] for r in query(spark, save(tmp_path, [(d, t, "en", "s", len(t)) for d, t in docs], extra=False)).collect()}
     assert got == brute_components(docs, 4)[1]
 
@@ -370,3 +370,15 @@ def test_op10_levels_rise_until_nothing_collides(spark, monkeypatch):
     found = pii.mentions(docs.where("doc_id % 6 = 0")).persist()
     level = pii.level_for(found)
     assert level > 0 and pii.collisions(pii.surrogates(found, pii.KEY, level)).isEmpty()
+
+
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_queries_agree_with_their_sql(spark, name):
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    twin = con.execute(registry.oracle_sql()[name])
+    columns = [d[0] for d in twin.description]
+    found = registry.queries()[name](spark, folder)
+    assert sorted(found.columns) == sorted(columns)
+    assert Counter(tuple(r) for r in found.select(columns).collect()) == Counter(twin.fetchall())
