@@ -160,11 +160,13 @@ def minhash_dedup(
     at = lambda name: f"{output.rstrip('/')}/{name}"
     docs = files.kept(spark, at("doc"), lambda: files.with_ids(files.read_texts(spark, inputs, delimiter)))
     prep = files.kept(spark, at("prep"), lambda: minhash.features(docs, ngram).select("doc_id", "tokens", "grams"))
-    pairs = files.kept(spark, at("minhash"), lambda: minhash.candidates(minhash.bands(prep, r, b)), most_records=10_000_000)
+    apart, same = minhash.classes(prep)
+    pairs = files.kept(spark, at("minhash"), lambda: minhash.candidates(minhash.bands(apart, r, b)), most_records=10_000_000)
     links = files.kept(spark, at("jaccard"), lambda: minhash.verified(pairs, prep, jaccard))
     if editsim is not None:
-        links = files.kept(spark, at("editsim"), lambda: minhash.edit_verified(links, prep, editsim))
-    cc = files.kept(spark, at("cc"), lambda: connected(links, "id1", "id2"))
+        alike = links
+        links = files.kept(spark, at("editsim"), lambda: minhash.edit_verified(alike, prep, editsim))
+    cc = files.kept(spark, at("cc"), lambda: connected(links.select("id1", "id2").union(same), "id1", "id2"))
     named = docs.join(cc.select(F.col("node").alias("doc_id"), F.col("component").alias("cc")), "doc_id", "left")
     stays: Column = F.col("cc").isNull() | (F.col("cc") == F.col("doc_id"))
     files.write(named.where(stays).select("text"), at("dedup"), "text", line_sep=delimiter)

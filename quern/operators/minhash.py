@@ -25,6 +25,14 @@ def features(docs: DataFrame, n: int = 5, hashed=F.xxhash64, text: str = "text")
     return docs.withColumn("tokens", tokens).withColumn("grams", F.array_distinct(F.transform(grams, lambda g: hashed(g))))
 
 
+def classes(docs: DataFrame, doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """One document for each set of grams, the one with the smallest id; and (id1, id2) links of all others to theirs. Documents without grams are in neither."""
+    named = docs.where(F.size("grams") > 0).withColumn("_set", F.sha2(F.concat_ws(",", F.array_sort("grams")), 256))
+    least = named.groupBy("_set").agg(F.min(doc_id).alias("_rep"))
+    one = named.join(least, "_set")
+    return one.where(F.col(doc_id) == F.col("_rep")).select(docs.columns), one.where(F.col(doc_id) != F.col("_rep")).select(F.col("_rep").alias("id1"), F.col(doc_id).alias("id2"))
+
+
 def coefficients(count: int, seed: int = 42) -> list[tuple[int, int]]:
     r = random.Random(seed)
     return [(r.randrange(1, PRIME), r.randrange(PRIME)) for _ in range(count)]

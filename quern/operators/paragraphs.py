@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import text as T
-from quern.operators.durable import durable
+from quern.operators.durable import durable, release
 
 PARAGRAPH = "struct<path:string,text:string,pos:int,exact_freq:int,near_freq:int,removed_by:string>"
 
@@ -94,9 +94,10 @@ def merge_statistics(stats: DataFrame, most_remaps: int = 10, no_ones: bool = Fa
     total = lambda c: T.clamp_int(F.sum(F.col(c).cast("long"))).alias(c)
     merged = stats.groupBy("hash").agg(F.min("repr_hash").alias("new_repr"), F.count_distinct("repr_hash").alias("_reprs"), total("exact_freq"), total("near_freq"))
     seen = stats.select("hash", "repr_hash").join(merged.select("hash", "new_repr", "_reprs"), "hash")
-    changed = seen.where("repr_hash != new_repr").groupBy("repr_hash").agg(F.min("new_repr").alias("to"), F.collect_set("new_repr").alias("_all"))
-    direct = changed.select(F.col("repr_hash").alias("old"), "to")
-    updates = durable(direct.union(changed.select(F.explode("_all").alias("old"), "to")).where("old != to").distinct())
+    changed = durable(seen.where("repr_hash != new_repr").select("repr_hash", "new_repr").distinct())
+    direct = changed.groupBy("repr_hash").agg(F.min("new_repr").alias("to"))
+    updates = durable(direct.select(F.col("repr_hash").alias("old"), "to").union(changed.join(direct, "repr_hash").select(F.col("new_repr").alias("old"), "to")).where("old != to").distinct())
+    release(changed)
     if exact:
         from quern.operators.components import connected
 
@@ -108,7 +109,8 @@ def merge_statistics(stats: DataFrame, most_remaps: int = 10, no_ones: bool = Fa
         for _ in range(most_remaps + 1):
             step = remaps.select("init", F.col("to").alias("old")).join(updates, "old", "left")
             moved = step.groupBy("init").agg(F.min(F.coalesce("to", "old")).alias("to"))
-            remaps = durable(moved.where("init != to"))
+            remaps, old = durable(moved.where("init != to")), remaps
+            release(old)
             state = remaps.agg(F.count(F.lit(1)), F.sum(F.xxhash64("init", "to").cast("decimal(38,0)"))).first()
             if state == before:
                 break

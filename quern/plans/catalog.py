@@ -241,10 +241,12 @@ e AS (SELECT doc_id, ({_H.format(x="x")}) % {minhash.PRIME} + 1 AS v FROM (SELEC
 k AS (SELECT unnest(range({_B * _RR})) AS k, unnest({[a for a, _ in _COEFF]}::BIGINT[]) AS a, unnest({[b for _, b in _COEFF]}::BIGINT[]) AS b),
 m AS (SELECT doc_id, k, min((v * a + b) % {minhash.PRIME}) AS m FROM e, k GROUP BY doc_id, k),
 bands AS (SELECT doc_id, (k // {_RR})::INT AS band, string_agg(m::VARCHAR, ',' ORDER BY k) AS key FROM m GROUP BY doc_id, k // {_RR})"""
-_CAND = "cand AS (SELECT DISTINCT a.doc_id AS id1, b.doc_id AS id2 FROM bands a JOIN bands b USING (band, key) WHERE a.doc_id < b.doc_id)"
+_CAND = """same AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY list_sort(g)) AS rep FROM g WHERE len(g) > 0),
+cand AS (SELECT DISTINCT a.doc_id AS id1, b.doc_id AS id2 FROM bands a JOIN bands b USING (band, key) JOIN same x ON x.doc_id = a.doc_id AND x.rep = x.doc_id JOIN same y ON y.doc_id = b.doc_id AND y.rep = y.doc_id
+ WHERE a.doc_id < b.doc_id)"""
 _VER = """ver AS (SELECT id1, id2, round(len(list_intersect(x.g, y.g)) / (len(x.g) + len(y.g) - len(list_intersect(x.g, y.g)))::DOUBLE, 9) AS jaccard
  FROM cand JOIN g x ON x.doc_id = id1 JOIN g y ON y.doc_id = id2 WHERE len(list_intersect(x.g, y.g)) / (len(x.g) + len(y.g) - len(list_intersect(x.g, y.g)))::DOUBLE >= 0.8)"""
-_CC = """edge AS (SELECT id1 AS u, id2 AS v FROM ver UNION SELECT id2, id1 FROM ver),
+_CC = """edge AS (SELECT id1 AS u, id2 AS v FROM ver UNION SELECT id2, id1 FROM ver UNION SELECT doc_id, rep FROM same WHERE doc_id != rep UNION SELECT rep, doc_id FROM same WHERE doc_id != rep),
 reach AS (SELECT u AS node, u AS label FROM edge UNION SELECT v, r.label FROM reach r JOIN edge e ON r.node = e.u WHERE r.label < e.v OR TRUE),
 cc AS (SELECT node, min(label) AS component FROM reach GROUP BY node)"""
 
@@ -258,33 +260,48 @@ def minhash_bands(spark, sf_dir):
     return minhash.bands(_features(spark, sf_dir), _B, _RR)
 
 
+def _apart(spark, sf_dir):
+    """Documents with different sets of grams, kept, and links of the others to them."""
+    docs, same = minhash.classes(_features(spark, sf_dir))
+    return durable(docs), same
+
+
+def _alike(docs: DataFrame) -> DataFrame:
+    return minhash.verified(minhash.candidates(minhash.bands(docs, _B, _RR)), docs)
+
+
 @_query(f"WITH {_MH}, {_CAND} SELECT id1, id2 FROM cand")
 def minhash_candidates(spark, sf_dir):
-    return minhash.candidates(minhash_bands(spark, sf_dir))
+    """Pairs of documents that stand for their sets of grams; the others are linked to these."""
+    return minhash.candidates(minhash.bands(_apart(spark, sf_dir)[0], _B, _RR))
 
 
 @_query(f"WITH {_MH}, {_CAND}, {_VER} SELECT id1, id2, jaccard FROM ver")
 def minhash_verified(spark, sf_dir):
-    docs = _features(spark, sf_dir)
-    return minhash.verified(minhash.candidates(minhash.bands(docs, _B, _RR)), docs).withColumn("jaccard", F.round("jaccard", 9))
+    return _alike(_apart(spark, sf_dir)[0]).withColumn("jaccard", F.round("jaccard", 9))
+
+
+def _links(spark, sf_dir):
+    docs, same = _apart(spark, sf_dir)
+    return _alike(docs).select("id1", "id2").union(same)
 
 
 @_query(f"WITH RECURSIVE {_MH}, {_CAND}, {_VER}, {_CC} SELECT node, component FROM cc")
 def connected_components(spark, sf_dir):
     from quern.operators.components import connected
 
-    return connected(minhash_verified(spark, sf_dir), "id1", "id2")
+    return connected(_links(spark, sf_dir), "id1", "id2")
 
 
 @_query(f"WITH RECURSIVE {_MH}, {_CAND}, {_VER}, {_CC} SELECT doc_id, component AS cc, (component IS NULL OR component = doc_id) AS kept FROM documents LEFT JOIN cc ON node = doc_id")
 def split_dedup_dup(spark, sf_dir):
-    return minhash.split(_docs(spark, sf_dir), minhash_verified(spark, sf_dir)).select("doc_id", "cc", "kept")
+    return minhash.split(_docs(spark, sf_dir), _links(spark, sf_dir)).select("doc_id", "cc", "kept")
 
 
 @_query()
 def edit_similarity_pairs(spark, sf_dir):
-    docs = _features(spark, sf_dir)
-    return minhash.edit_verified(minhash.verified(minhash.candidates(minhash.bands(docs, _B, _RR)), docs), docs)
+    docs, _ = _apart(spark, sf_dir)
+    return minhash.edit_verified(_alike(docs), docs)
 
 
 #: Elements of the cleaning steps: non-trailing lines.
