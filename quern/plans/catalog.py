@@ -475,6 +475,33 @@ def merge_list_tag(spark, sf_dir):
     return _shown(filters.MergeListTag().apply(_pages(spark, sf_dir)))
 
 
+#: Paths for paragraphs of plain documents, in turn, for filters that go by paths.
+_PATHS = ["body>h1", "body>h3.title", "body>ul>li.a", "body>ul>li.a", "body>nav>p", "body>div#header-test>p", "body>article>p", "body>div.breadcrumbs>p"]
+_PP = f"pp AS (SELECT doc_id, pos, text, ({_PATHS})[pos % 8 + 1] AS path FROM p)"
+
+
+def _with_paths(spark, sf_dir):
+    rows = _rows(spark, sf_dir)
+    return paragraphs.assemble(rows.withColumn("path", F.element_at(F.array(*map(F.lit, _PATHS)), F.col("pos") % 8 + 1)))
+
+
+@_query(f"""WITH {_P}, {_PP} SELECT doc_id, pos, CASE path WHEN 'body>h1' THEN '# ' || text WHEN 'body>h3.title' THEN '### ' || text ELSE text END AS text FROM pp""")
+def headings_by_path(spark, sf_dir):
+    return _shown(filters.MarkdownizeHeading().apply(_with_paths(spark, sf_dir))).select("doc_id", "pos", "text")
+
+
+@_query(f"""WITH {_P}, {_PP} SELECT doc_id, pos, path IN ('body>nav>p', 'body>div#header-test>p', 'body>div.breadcrumbs>p') AS removed FROM pp""")
+def furniture_by_path(spark, sf_dir):
+    return _shown(filters.NoContentDOM().apply(_with_paths(spark, sf_dir))).select("doc_id", "pos", F.col("removed_by").isNotNull().alias("removed"))
+
+
+@_query(f"""WITH {_P}, {_PP}, n AS (SELECT *, lead(text) OVER (PARTITION BY doc_id ORDER BY pos) AS following FROM pp)
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1)::INT AS pos, CASE WHEN pos % 8 = 2 AND following IS NOT NULL THEN '- ' || text || chr(10) || '- ' || following ELSE text END AS text
+FROM n WHERE pos % 8 != 3""")
+def list_items_by_path(spark, sf_dir):
+    return _shown(filters.MergeListTag().apply(_with_paths(spark, sf_dir))).select("doc_id", "pos", "text")
+
+
 @_query()
 def web_pipeline(spark, sf_dir):
     return paragraphs.render(Pipeline.of("web.conf")(_pages(spark, sf_dir)), debug=True)
