@@ -8,7 +8,9 @@ one rank come up from left to right. Time grows with the bytes of the pre-token,
 Texts are cut before single spaces, where no match of the pattern crosses; a distinct chunk is encoded once per worker. A text
 with runs of white space that this rule can't cut goes through the pattern as a whole.
 
-Edge cases: a null text counts as empty, with no tokens; decoding gives back the bytes of any text.
+Edge cases: a null text counts as empty, with no tokens; decoding gives back the bytes of any text; repeated rows are encoded each, with
+equal ids; pairs of one rank merge from the left; a text or pre-token of any length is encoded whole; an empty table gives an empty
+result; only doc_id and text are read, so other columns can have any names.
 """
 
 from __future__ import annotations

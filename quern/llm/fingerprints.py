@@ -6,7 +6,8 @@ than k hashes a sketch is the whole set and all estimates are exact.
 
 Texts are lower-cased (A-Z) and split at white space; a text of 1 to 4 words has its whole sequence as the one shingle.
 Edge cases: a null text counts as empty; empty texts have the empty fingerprint, resemble each other by 1 and others by 0;
-a single document is its own next one; repeated rows and equal doc_ids are ordered by their text.
+a single document is its own next one; repeated rows and equal doc_ids are ordered by their text; a text of any length is read whole, by
+itself; an empty table gives an empty result; only doc_id and text are read, so other columns can have any names.
 """
 
 from __future__ import annotations

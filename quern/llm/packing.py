@@ -8,8 +8,9 @@ often as the counts allow, and falls back to the longest piece that fits (best f
 The pieces then find their places from the plan: a piece's rank among those of its length picks the interval of the plan it lies
 in. Ranks are counted in lanes, so no task holds all pieces of a common length.
 
-Edge cases: a null text counts as empty and has one piece with only the end token; repeated rows are packed each; an empty table
-gives an empty result; texts of any length are cut into full pieces and one shorter last piece.
+Edge cases: a null text counts as empty and has one piece with only the end token; repeated rows are packed each; pieces of one length are
+ranked by doc_id, piece and checksum, and those equal in all of these are interchangeable; an empty table gives an empty result; texts of
+any length are cut into full pieces and one shorter last piece; only doc_id and text are read, so other columns can have any names.
 """
 
 from __future__ import annotations

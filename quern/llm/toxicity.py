@@ -163,8 +163,9 @@ class Featurizer:
         size_of = np.diff(bounds)
         doc = np.repeat(np.arange(n, dtype=np.int32), size_of)
         total = lambda v: np.bincount(doc, v[code], n)
-        size = np.maximum(size_of, 1)
         whole, stem, hidden, you, upper, letters, caps, marks, odd, length, loud, hit = known.T
+        words = total(length > 0)  # splitting gives empty chunks at white ends
+        size = np.maximum(words, 1)
         strongest = np.zeros(n, dtype=np.float32)
         have = np.flatnonzero(size_of)
         strongest[have] = np.maximum.reduceat(np.maximum(np.maximum(whole, stem), hidden)[code], bounds[have])
@@ -180,7 +181,7 @@ class Featurizer:
             [
                 total(whole) / size, total(stem) / size, total(hidden) / size, total(whole > 0) / size, total(stem > 0) / size, hits, strongest,
                 np.bincount(doc, hit[code] * near, n) / np.maximum(hits, 1), total(you) / size, total(upper) / np.maximum(in_letters, 1), total(caps) / size,
-                total(marks) / np.maximum(total(length), 1), total(loud) / size, total(odd) / size, in_letters / size, np.log1p(size_of),
+                total(marks) / np.maximum(total(length), 1), total(loud) / size, total(odd) / size, in_letters / size, np.log1p(words),
             ],
             axis=1,
         )

@@ -1,12 +1,16 @@
 """Parts of the operators by themselves, and the pipeline."""
 
 import random
+from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from test_queries import brute_components, documents
+from tokenizers import Tokenizer
 
-from quern.llm import boosting, bytebpe, fingerprints, licenses, media, packing, secrets, sharding
+from quern.llm import boosting, bytebpe, fingerprints, licenses, media, packing, pii, secrets, sharding
 
 
 def test_sketches_merge_and_estimate():
@@ -233,6 +237,79 @@ def test_gear_chunks_survive_insertions():
     assert len(set(one) & set(two)) >= len(one) - 3
 
 
+def plain_features(text, lexicon):
+    """The 16 features, a word at a time."""
+    import math
+    import re
+
+    from quern.llm import toxicity
+
+    def weights(word):
+        return lexicon.get(word, 0.0), max([lexicon.get(word[:k] + "*", 0.0) for k in (4, 5, 6) if len(word) > k], default=0.0)
+
+    rows = []
+    for chunk in text.split():
+        found = [weights(w) for w in re.findall(r"[^\W\d_]+", chunk.lower())]
+        whole, stem = max([a for a, _ in found], default=0.0), max([b for _, b in found], default=0.0)
+        letters = len(re.findall(r"[^\W\d_]", chunk.lower()))
+        inner = chunk.strip("\"'.,;:!?()[]{}#%&*$-")
+        odd = letters > 0 and any(c.isalpha() for c in inner) and not inner.replace("'", "").replace("-", "").isalpha()
+        hidden = 0.0
+        if odd and not whole:
+            top = max(weights("".join(re.findall(r"[^\W\d_]+", inner.lower().translate(toxicity._LEET)))))
+            hidden = top if top > stem else 0.0
+        upper = sum(c.isupper() for c in chunk)
+        you = any(w in toxicity._YOU for w in re.findall(r"[^\W\d_]+", chunk.lower()))
+        rows.append((whole, stem, hidden, you, upper, letters, upper > 1 and upper == letters, sum(not c.isalnum() for c in chunk), odd, len(chunk), "!" in chunk))
+    n, size = len(rows), max(len(rows), 1)
+    total = lambda k: sum(r[k] for r in rows)
+    hit = [bool(r[0] or r[1] or r[2]) for r in rows]
+    near = [any(rows[j][3] for j in range(max(0, i - 4), min(n, i + 5))) for i in range(n)]
+    return [
+        total(0) / size, total(1) / size, total(2) / size, sum(r[0] > 0 for r in rows) / size, sum(r[1] > 0 for r in rows) / size, sum(hit), max([max(r[:3]) for r in rows], default=0.0),
+        sum(a and b for a, b in zip(hit, near, strict=True)) / max(sum(hit), 1), total(3) / size, total(4) / max(total(5), 1), total(6) / size, total(7) / max(total(9), 1), total(10) / size, total(8) / size, total(5) / size, math.log1p(n),
+    ]
+
+
+def test_toxic_features_agree_with_a_plain_count():
+    import pyarrow as pa
+
+    from quern.llm import toxicity
+
+    lexicon = {"idiot": 3.0, "stup*": 1.5, "hatef*": 2.0, "ass": 1.0}
+    r = random.Random(8)
+    words = ["you", "YOU!", "Your", "idiot", "Idiots,", "1d10t", "stupid", "STUPID!!", "hateful.", "a$$", "fine", "It's", "well-known", "x1", "42", "¡Tú!", "ÉTÉ", "...", "ass", "as"]
+    texts = ["", "   ", *(" ".join(r.choices(words, k=r.randint(1, 40))) for _ in range(200))]
+    for limit in (3, 60_000):  # also when the table starts anew all the time
+        make = toxicity.Featurizer(lexicon, limit)
+        got = np.concatenate([make(pa.array(texts[k : k + 20])) for k in range(0, len(texts), 20)])
+        assert np.allclose(got, [plain_features(t, lexicon) for t in texts], atol=1e-6)
+
+
+def test_trees_score_as_a_walk_down_each_tree():
+    r = np.random.default_rng(3)
+    x, y = r.random((300, 5)), r.integers(0, 2, 300).astype(float)
+    fit = boosting.Boosted(trees=7).fit(x, y)
+    for row, raw in zip(x[:50], fit.raw(x[:50]), strict=True):
+        total = fit.base
+        for features, thresholds, value in fit.trees:
+            node = 0
+            for f, t in zip(features, thresholds, strict=True):
+                node = 2 * node + int(row[f[node]] > t[node])
+            total += value[node]
+        assert raw == pytest.approx(total)
+
+
+def test_isotonic_fit_is_the_least_squares_one():
+    r = np.random.default_rng(4)
+    raw, y = np.sort(r.random(40)), r.integers(0, 2, 40).astype(float)
+    means = [[y[i : j + 1].mean() for j in range(40)] for i in range(40)]
+    wanted = [max(min(means[i][j] for j in range(k, 40)) for i in range(k + 1)) for k in range(40)]  # the max-min formula
+    fit = boosting.Isotonic().fit(raw, y)
+    pools = np.searchsorted(np.unique(wanted), wanted)
+    assert fit.y == pytest.approx(np.unique(wanted)) and fit.x == pytest.approx([raw[pools == k].mean() for k in range(pools.max() + 1)])
+
+
 def test_trees_and_calibration():
     r = np.random.default_rng(7)
     x = r.random((2000, 4))
@@ -256,6 +333,23 @@ def test_pipeline_stages(spark, request, which):
         if k < len(pipeline.STAGES) - 1:
             assert docs.columns == start, name
             docs = docs.persist()
+        if name == "toxicity":
+            from quern.llm import toxicity
+
+            scored = toxicity.scored(before.withColumn("_no", F.monotonically_increasing_id()), toxicity.train(before, spark.read.parquet(f"{folder}/labels.parquet")), ["doc_id", "text"], "_score")
+            assert Counter((r["doc_id"], r["text"]) for r in docs.collect()) == Counter((r["doc_id"], r["text"]) for r in scored.collect() if r["_score"] < 0.5)
+        if name == "pii_surrogates":
+            texts = {}
+            for r in pii.anonymised(before.select("doc_id", "text")).collect():
+                texts.setdefault(r["doc_id"], []).append(r["text"])
+            for r in docs.collect():
+                assert r["text"] in texts[r["doc_id"]] and (r["text"] is None or r["n_chars"] == len(r["text"]))
+        if name == "best_fit_packing":
+            library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+            sizes = Counter((r["doc_id"], len(library.encode(r["text"] or "", add_special_tokens=False).ids) + 1) for r in before.collect())
+            packed = docs.collect()
+            assert sum(r["length"] for r in packed) == sum(n * k for (_, n), k in sizes.items())
+            assert {d for d, _ in sizes} == {r["doc_id"] for r in packed}
         if name == "near_duplicates":
             rows = [(r["doc_id"], r["text"]) for r in before.where("doc_id is not null").collect()]
             if len({d for d, _ in rows}) == len(rows):
@@ -267,3 +361,36 @@ def test_pipeline_stages(spark, request, which):
 
 def test_edge_documents_are_as_described(edge_dir):
     assert any(t is None for _, t in documents(edge_dir)) and any(len(t or "") > 100_000 for _, t in documents(edge_dir))
+
+
+def test_media_tables_are_written_and_damage_is_seen(spark):
+    """Chunks stand once in the pool, or in their only list; a file whose bytes are others raises."""
+    r = random.Random(9)
+    shared = "".join(r.choices("abcdefgh ", k=60_000))
+    texts = [shared, shared, "own " + "".join(r.choices("xyz ", k=30_000)) + shared, "short", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lists, pool = media.store(docs)
+    rows, chunks = lists.collect(), {bytes(c["digest"]) for c in pool.collect()}
+    assert pool.count() == len(chunks) > 3
+    own = Counter(bytes(k) for x in rows for k, d in zip(x["chunks"], x["own"], strict=True) if d is not None)
+    assert max(own.values()) == 1 and not chunks & set(own)
+    assert all(bytes(k) in chunks for x in rows for k, d in zip(x["chunks"], x["own"], strict=True) if d is None)
+    assert media.read(lists, pool).count() == len(texts)
+    flipped = pool.withColumn("data", F.first("data").over(__import__("pyspark").sql.Window.orderBy("digest")))
+    with pytest.raises(Exception, match="isn't as it was stored"):
+        media.read(lists, flipped).collect()
+    with pytest.raises(Exception, match="chunk"):
+        media.read(lists, pool.limit(1)).collect()
+
+
+def test_neighbours_and_texts_of_one_doc_id(spark):
+    """Two texts under one doc_id link what is near either of them; a missing doc_id links to the copies of its text."""
+    from conftest import words
+
+    from quern.llm import neardup
+
+    a, b = words(21, 80), words(22, 80)
+    rows = [(1, a), (1, b), (2, a + " one"), (3, b + " two"), (4, words(23, 50)), (None, a), (None, words(24, 30))]
+    got = {(x["doc_id"], x["n_shingles"]): x["component_id"] for x in neardup.link(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()}
+    assert {d: c for (d, _), c in got.items() if d is not None} == {1: 1, 2: 1, 3: 1, 4: 4}
+    assert got[None, 77] == 1 and got[None, 27] is None
