@@ -199,7 +199,7 @@ PRESETS: dict[str, list] = {
         "FilterJapaneseBasedOnCharacter", "FilterBySentenceLength", "DeduplicateRepeatingSentence", "RemoveScriptDocument", "RemoveShortDocument",
     ],
     "rmTemplate": ["DeduplicateElement", "RemoveSubstring"],
-    "sudachiDictCorpus": ["NormalizeCharacter", "SplitIntoSentence", "RemoveWikipediaCitation", "ConcatShortSentence", "RemoveShortDocument"],
+    "dictCorpus": ["NormalizeCharacter", "SplitIntoSentence", "RemoveWikipediaCitation", "ConcatShortSentence", "RemoveShortDocument"],
 }
 
 

@@ -371,12 +371,11 @@ class LMParagraphPerplexity(LargeFreqParagraphs):
 #: The names these go by in configurations written for other engines.
 ALIASES = {"KenLMDocAvgPerplexity": "LMDocAvgPerplexity", "KenLMParagraphPerplexity": "LMParagraphPerplexity"}
 _RENAMED = {"kenlm": "model", "baseNumFreq": "base"}
-_IGNORED = ("sudachi",)
 
 
 def make(name: str, **args) -> Filter:
-    """A filter by class name; a dotted name is imported."""
-    name = ALIASES.get(name, name)
+    """A filter by class name; a dotted name is imported. What other engines' models need besides (a tokenizer's dictionary) is passed over."""
+    foreign, name = name in ALIASES, ALIASES.get(name, name)
     if "." in name:
         import importlib
 
@@ -386,8 +385,8 @@ def make(name: str, **args) -> Filter:
         cls = REGISTRY[name]
     else:
         raise ValueError(f"no filter {name!r}; there are {', '.join(sorted(REGISTRY))}")
-    args = {_RENAMED.get(k, k): v for k, v in args.items() if k not in _IGNORED}
     known = inspect.signature(cls).parameters
+    args = {_RENAMED.get(k, k): v for k, v in args.items() if not foreign or _RENAMED.get(k, k) in known}
     if unknown := [k for k in args if k not in known]:
         raise ValueError(f"{name} has no parameter {', '.join(unknown)}")
     return cls(**args)

@@ -128,3 +128,14 @@ def test_histograms_and_sketches(spark):
     df = spark.createDataFrame([("a", v) for v in (-1.0, 0.0, 0.24, 0.5, 0.99, 7.0, None)], "g string, v double")
     assert {(r["bin"], r["n"]) for r in reports.histogram(df, "v", 0.0, 1.0, 4, "g").collect()} == {(0.0, 3), (0.5, 1), (0.75, 2)}
     assert len(reports.frequency_sketch(df.where("v is not null").select(F.col("v").cast("string").alias("v")), "v").first()["sketch"]) > 100
+
+
+def test_filters_from_configurations_of_other_engines(tmp_path):
+    model = tmp_path / "m.json"
+    model.write_text('{"order": 1, "counts": {"": 1, "a": 1}, "vocabulary": 1}')
+    made = filters.make("KenLMDocAvgPerplexity", kenlm=str(model), dictionary="some.dic")
+    assert made.model == str(model)
+    with pytest.raises(ValueError, match="no parameter"):
+        filters.make("DocLength", nothing=1)
+    with pytest.raises(ValueError, match="no filter"):
+        filters.make("Nothing")
