@@ -61,6 +61,8 @@ IPV4 = rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)"
 NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'’-]++(?: \p{{Lu}}[\p{{L}}'’-]++){{0,2}}"
 #: Most positions of a text fail at the first test of this.
 PATTERN = rf"(?=[0-9+(])(?:{IBAN}|{SSN}|{CARD}|{PHONE}|{IPV4})|{EMAIL}|(?=[A-ZГΚ])(?:{IBAN}|{NAME})"
+#: Holds of every text with a name that PATTERN finds.
+TITLED = rf"(?=[A-ZГΚ])(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.? \p{{Lu}}"
 KINDS = ("email", "iban", "ssn", "card", "phone", "ip", "name")
 
 
@@ -232,7 +234,10 @@ def decided_in(docs: DataFrame, found: DataFrame, column: str = "text", out: str
     other = names.join(genders(found), "own").where("gender != decided").select("digest", "own", "decided").distinct()
     maps = other.groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("own", "decided"))).alias(out))
     own = unused("_digest", docs)
-    return docs.withColumn(own, F.md5(column)).join(maps.withColumnRenamed("digest", own), own, "left").drop(own)
+    some, rest = docs.where(F.col(column).rlike(TITLED)), docs.where(~F.coalesce(F.col(column).rlike(TITLED), F.lit(False)))
+    # only texts with a title are shuffled, and always so, whatever the size
+    named = some.withColumn(own, F.md5(column)).join(maps.withColumnRenamed("digest", own).hint("merge"), own, "left").drop(own)
+    return named.unionByName(rest.withColumn(out, F.lit(None).cast("map<string,string>")))
 
 
 def _mentions(found: str, made: str) -> str:
