@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions.text import literal
+from quern.functions.text import literal, once
 
 STEPS: dict[str, Callable[..., Callable[[DataFrame], DataFrame]]] = {}
 
@@ -42,10 +42,12 @@ def Identity():
 def SplitElement(element_delim: str = "\n"):
     """Each element's parts; empty ones at the end go."""
 
+    def full(found: Column) -> Column:
+        at = F.filter(F.sequence(F.lit(1), F.size(found)), lambda i: F.element_at(found, i) != "")
+        return F.slice(found, 1, F.coalesce(F.array_max(at), F.lit(0)))
+
     def parts(x: Column) -> Column:
-        found = F.split(x, literal(element_delim))
-        full = F.filter(F.sequence(F.lit(1), F.size(found)), lambda i: F.element_at(found, i) != "")
-        return F.when(x == "", F.array(F.lit(""))).otherwise(F.slice(found, 1, F.coalesce(F.array_max(full), F.lit(0))))
+        return F.when(x == "", F.array(F.lit(""))).otherwise(once(F.split(x, literal(element_delim)), full))
 
     return lambda df: df.withColumn("elements", F.flatten(F.transform("elements", parts)))
 
@@ -155,10 +157,10 @@ def DeduplicateElement(doc_id: str = "doc_id"):
 def DeduplicateRepeatingSentence(min_repetition: int = 2):
     """Runs of min_repetition or more equal elements become one."""
 
-    def run(df: DataFrame) -> DataFrame:
-        e = F.col("elements")
+    n = min_repetition
+
+    def collapsed(e: Column) -> Column:
         same = lambda i, j: F.element_at(e, i) == F.element_at(e, j)
-        n = min_repetition
 
         def in_run(i: Column) -> Column:  # element i repeats the one before, within a run that is long enough
             back = lambda k: (i - k >= 1) & F.when(i - k >= 1, same(F.greatest(i - k, F.lit(1)), i)).otherwise(F.lit(False))
@@ -172,9 +174,9 @@ def DeduplicateRepeatingSentence(min_repetition: int = 2):
             return back(1) & whole
 
         keep = F.filter(F.sequence(F.lit(1), F.size(e)), lambda i: ~in_run(i))
-        return df.withColumn("elements", F.when(F.size(e) > 0, F.transform(keep, lambda i: F.element_at(e, i))).otherwise(e))
+        return F.when(F.size(e) > 0, F.transform(keep, lambda i: F.element_at(e, i))).otherwise(e)
 
-    return run
+    return lambda df: df.withColumn("elements", once(F.col("elements"), collapsed))
 
 
 @_step
