@@ -30,6 +30,7 @@ HEAD = 4096
 RECORD = "headers map<string,string>, content binary, path string"
 _SHIFT_JIS = ("shift_jis", "shift-jis", "shiftjis", "sjis", "x-sjis", "ms_kanji", "windows-31j", "cp932")
 _EARLIEST = "1999-01-01"
+_FIRST_CENTURY = re.compile(r"(?<![+-])\b00\d\d\b")
 
 
 class _Inflated:
@@ -310,6 +311,8 @@ def earliest(warc_date: str | None, *http_dates: str | None) -> str:
     found = []
     for raw in http_dates:
         try:
+            if _FIRST_CENTURY.search(raw):  # parsedate would take 0011 for 2011
+                continue
             found.append(email.utils.parsedate_to_datetime(raw).astimezone(timezone.utc))
         except (TypeError, ValueError, AttributeError):
             pass
@@ -317,7 +320,7 @@ def earliest(warc_date: str | None, *http_dates: str | None) -> str:
         found.append(datetime.fromisoformat((warc_date or "").replace("Z", "+00:00")).astimezone(timezone.utc))
     except ValueError:
         pass
-    told = sorted(d.strftime("%Y-%m-%dT%H:%M:%S") for d in found)
+    told = sorted(d.replace(tzinfo=None).isoformat(timespec="seconds") for d in found)  # strftime gives the year 202 three digits
     return next((d for d in told if d >= _EARLIEST), "")
 
 
